@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 BUCKET = "_bucket"
 
 
@@ -44,11 +46,20 @@ def range_buckets(
 
     Buckets are contiguous in (keys, order): every bucket of a key holds rows
     that all sort after the rows of the key's lower buckets.
+
+    Range bounds come from sampling the input, and a shuffled input arrives
+    in a different order each time it is computed, so two evaluations of the
+    exchange may cut different bounds.  The operators below read the buckets
+    twice (rows and per-bucket totals), so the tagged rows are written once
+    as a reliable checkpoint under the cluster's checkpoint folder: every
+    reader, and every retry after a lost executor, sees the same buckets.
     """
     parts = [F.col(k).asc() for k in keys] + sort_cols(order)
-    return df.repartitionByRange(_n_buckets(df, n), *parts).withColumn(
+    tagged = df.repartitionByRange(_n_buckets(df, n), *parts).withColumn(
         BUCKET, F.spark_partition_id()
     )
+    checkpoint_dir(df.sparkSession)
+    return tagged.checkpoint(eager=True)
 
 
 def rank_within(

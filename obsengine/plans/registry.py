@@ -41,6 +41,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(F.round(F.col(f.name), digits).alias(f.name))
+        elif isinstance(f.dataType, T.DecimalType):
+            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
         elif isinstance(f.dataType, T.TimestampType):
             cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         elif isinstance(f.dataType, T.DateType):

@@ -42,7 +42,11 @@ def build_session(
     On a cluster pass ``master=None`` and let spark-submit decide; tests pass
     ``local[*]``.  The Spark UI stays off: jobs are non-interactive.
     """
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
