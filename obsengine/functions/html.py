@@ -1,0 +1,84 @@
+"""Field extraction from product-listing HTML with regular expressions.
+
+This targets one known card layout (an ``article.product_pod`` per product),
+not HTML in general: each field is one ``regexp_extract`` over the card's
+markup, so the work stays in the JVM.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Fixed values that must equal the reference's page layout.
+CARD_RE = r'(?s)<article class="product_pod">(.*?)</article>'
+TITLE_RE = r'(?s)<h3>.*?<a\b[^>]*\btitle="([^"]*)"'
+HREF_RE = r'(?s)<h3>.*?<a\b[^>]*\bhref="([^"]*)"'
+PRICE_RE = r'(?s)class="price_color"[^>]*>(.*?)</p>'
+AVAILABILITY_RE = r'(?s)class="[^"]*\bavailability\b[^"]*"[^>]*>(.*?)</p>'
+RATING_RE = r'class="star-rating\s+([^"\s]+)'
+NEXT_RE = r'(?s)<li class="next">\s*<a\b[^>]*\bhref="([^"]*)"'
+LINK_RE = r'<a\b[^>]*\bhref="([^"]*)"'
+
+# Named character references decoded in text and attributes ('&amp;' last,
+# so '&amp;lt;' stays '&lt;').
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+
+
+def _col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def decode_entities(c: str | Column) -> Column:
+    out = _col(c)
+    for ent, ch in _ENTITIES:
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return out
+
+
+def text_of(markup: str | Column) -> Column:
+    """Visible text of a fragment: tags dropped, entities decoded, every run
+    of whitespace one space, trimmed."""
+    t = F.regexp_replace(_col(markup), r"<[^>]*>", " ")
+    t = decode_entities(t)
+    return F.trim(F.regexp_replace(t, r"\s+", " "))
+
+
+def cards(html: str | Column) -> Column:
+    """Array of the inner markup of every product card on a page."""
+    return F.regexp_extract_all(_col(html), F.lit(CARD_RE), 1)
+
+
+def card_title(card: str | Column) -> Column:
+    return F.trim(decode_entities(F.regexp_extract(_col(card), TITLE_RE, 1)))
+
+
+def card_href(card: str | Column) -> Column:
+    return decode_entities(F.regexp_extract(_col(card), HREF_RE, 1))
+
+
+def card_price_text(card: str | Column) -> Column:
+    """Price text, NULL when the card has no price element."""
+    c = _col(card)
+    return F.when(c.rlike(PRICE_RE), text_of(F.regexp_extract(c, PRICE_RE, 1)))
+
+
+def card_availability(card: str | Column) -> Column:
+    c = _col(card)
+    return F.when(c.rlike(AVAILABILITY_RE), text_of(F.regexp_extract(c, AVAILABILITY_RE, 1)))
+
+
+def card_rating_word(card: str | Column) -> Column:
+    c = _col(card)
+    return F.when(c.rlike(RATING_RE), F.regexp_extract(c, RATING_RE, 1))
+
+
+def next_href(html: str | Column) -> Column:
+    """The next-page link of a listing page, NULL when there is none."""
+    h = _col(html)
+    return F.when(h.rlike(NEXT_RE), decode_entities(F.regexp_extract(h, NEXT_RE, 1)))
+
+
+def links(html: str | Column) -> Column:
+    """Every ``href`` of an anchor on a page, in page order."""
+    return F.regexp_extract_all(_col(html), F.lit(LINK_RE), 1)

@@ -39,6 +39,7 @@ def clean_products(
     df: DataFrame,
     ordinal: str | None = None,
     null_url_token: str | None = S.NULL_URL_TOKEN,
+    drop_ordinal: bool = True,
 ) -> DataFrame:
     """Products cleaning, in the reference's order:
 
@@ -49,7 +50,8 @@ def clean_products(
     5. keep the last row per (url, scraped_at); ties broken by ``ordinal``.
 
     Range checks and the price filter run before the dedup, so a negative
-    duplicate never hides a valid one.  The ordinal column is dropped.
+    duplicate never hides a valid one.  The ordinal column is dropped unless
+    ``drop_ordinal=False``.
     """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     out = df
@@ -63,12 +65,12 @@ def clean_products(
         out = out.withColumn("url", S.normalize_url("url", null_url_token))
         order = ["scraped_at"] + ([ordinal] if ordinal else [])
         out = keep_last(out, ["url", "scraped_at"], order)
-    if ordinal and ordinal in out.columns:
+    if drop_ordinal and ordinal and ordinal in out.columns:
         out = out.drop(ordinal)
     return out
 
 
-def clean_weather(df: DataFrame, ordinal: str | None = None) -> DataFrame:
+def clean_weather(df: DataFrame, ordinal: str | None = None, drop_ordinal: bool = True) -> DataFrame:
     """Weather cleaning: ``time`` to UTC, measures to numbers, plausibility
     (temperature in [-80, 80], humidity in [0, 100], precipitation and wind
     >= 0; else NULL), then keep the last row per (city, time).
@@ -87,7 +89,7 @@ def clean_weather(df: DataFrame, ordinal: str | None = None) -> DataFrame:
     if "city" in types:
         order = ["time"] + ([ordinal] if ordinal else [])
         out = keep_last(out, ["city", "time"], order)
-    if ordinal and ordinal in out.columns:
+    if drop_ordinal and ordinal and ordinal in out.columns:
         out = out.drop(ordinal)
     return out
 

@@ -225,8 +225,8 @@ def upsert_dim_product(target: DataFrame, batch: DataFrame, as_of, batch_order=N
 def conform_price_rows(batch: DataFrame) -> DataFrame:
     """Fact-bound price rows: negative prices dropped, rating outside [1, 5]
     NULL, rating as a small integer, price as NUMERIC(10,2)."""
-    price = F.col("price_gbp").cast("double")
-    rating = F.col("rating_1to5").cast("double")
+    price = F.col("price_gbp").try_cast("double")
+    rating = F.col("rating_1to5").try_cast("double")
     return batch.where(price.isNull() | (price >= 0)).withColumns(
         {
             "price_gbp": price.try_cast(T.DecimalType(10, 2)),
@@ -240,7 +240,8 @@ def upsert_fact_price(target: DataFrame, dim: DataFrame, batch: DataFrame, batch
     the dimension (unknown urls dropped), rows conformed, and price,
     availability and rating overwrite (a NULL overwrites too)."""
     rows = lookup_key(conform_price_rows(batch), dim, "url", "product_id")
-    rows = rows.select(
+    # Key columns are NOT NULL in the fact: a row without a time cannot land.
+    rows = rows.where(F.col("scraped_at").isNotNull()).select(
         "product_id", "scraped_at", "price_gbp", "availability", "rating_1to5", *batch_order
     )
     return upsert(
@@ -274,7 +275,7 @@ def upsert_fact_weather(target: DataFrame, batch: DataFrame, batch_order=None) -
     """Hourly weather fact by (city_id, time_at): the four measures overwrite."""
     return upsert(
         target,
-        batch,
+        batch.where(F.col("city_id").isNotNull() & F.col("time_at").isNotNull()),
         ["city_id", "time_at"],
         list(WEATHER_FACT_MEASURES),
         batch_order=batch_order,
