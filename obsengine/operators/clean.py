@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators.ranking import sort_key
 
 WEATHER_MEASURES = ("temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m")
 
@@ -17,17 +16,14 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     """One row per ``keys``: the row that sorts last in ``order`` (ascending,
     NULLs last).  NULL keys equal each other, as in a pandas dedup.
 
-    Written as an aggregate, so every map task keeps only its own last row
-    per key before the shuffle: a key with millions of duplicates costs one
-    row per map task on the wire, not millions in one reducer.
+    Written as ``row_number() = 1`` over the reversed order, which Spark
+    plans with a partial group limit before the shuffle: every map task
+    keeps only its own last row per key, so a key with millions of
+    duplicates costs one row per map task on the wire, not millions in one
+    reducer.
     """
-    cols = df.columns
-    packed = F.struct(*[F.col(c) for c in cols])
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(packed, sort_key(order)).alias("_row"))
-        .select(*[F.col("_row." + c).alias(c) for c in cols])
-    )
+    win = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_first() for c in order])
+    return df.withColumn("_rn", F.row_number().over(win)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hour_of
-from ..operators.ranking import sort_key
+from ..operators.clean import keep_last
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -30,14 +30,8 @@ def table_sample(df: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]) -> DataFrame:
     """``DISTINCT ON (keys) ... ORDER BY keys, order_desc DESC``: the row with
     the greatest ``order_desc`` per key (list every column there to break
-    ties).  An aggregate, so map tasks pre-reduce each key to one row."""
-    cols = df.columns
-    packed = F.struct(*[F.col(c) for c in cols])
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(packed, sort_key(order_desc)).alias("_row"))
-        .select(*[F.col("_row." + c).alias(c) for c in cols])
-    )
+    ties).  A top-1 per key, which map tasks pre-reduce before the shuffle."""
+    return keep_last(df, keys, order_desc)
 
 
 def latest_price(dim_product: DataFrame, fact_price: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
