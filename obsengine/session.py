@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # MIN/MAX/COUNT answered from parquet footers (e.g. the next surrogate id).
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
