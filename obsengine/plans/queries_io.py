@@ -64,14 +64,18 @@ def q_html_card_extract(spark, sf):
     """
 SELECT p_partkey,
        CASE WHEN p_size IN (1, 2) THEN NULL ELSE round(p_retailprice, 2) END AS price_strict,
-       round(p_retailprice, 2) AS price_lenient
-FROM part WHERE p_size <> 1""",
+       CASE WHEN p_size = 1 THEN NULL ELSE round(p_retailprice, 2) END AS price_lenient
+FROM part""",
 )
 def q_price_text_parse(spark, sf):
-    part = AD.table(spark, sf, "part").where(F.col("p_size") != 1)
+    part = AD.table(spark, sf, "part")
     price = F.format_string("%.2f", F.col("p_retailprice"))
     price = F.when(F.col("p_size") % 5 == 0, F.replace(price, F.lit("."), F.lit(","))).otherwise(price)
-    text = F.when(F.col("p_size") == 2, F.concat(F.lit("Â£"), price)).otherwise(F.concat(F.lit("£"), price))
+    text = (
+        F.when(F.col("p_size") == 1, F.lit(None).cast("string"))  # card without a price
+        .when(F.col("p_size") == 2, F.concat(F.lit("Â£"), price))  # stray character before the sign
+        .otherwise(F.concat(F.lit("£"), price))
+    )
     return rounded(
         part.select(
             "p_partkey",
@@ -179,7 +183,8 @@ SELECT page_id, link_no, form, ref, {resolve_url_sql('url', 'ref')} AS resolved
 )
 def q_url_resolve(spark, sf):
     pages = AD.table(spark, sf, "pages")
-    links = PG.page_links(pages).join(pages.select("page_id", "url"), "page_id")
+    links = pages.select("page_id", "url", F.posexplode(H.links("html")).alias("link_no", "href"))
+    links = links.withColumn("href", H.decode_entities("href"))
     h = F.col("href")
     t = F.substring(h, 2, 1 << 30)
     forms = F.array(*[F.struct(F.lit(k).alias("form"), _variant_spark(tpl, h, t).alias("ref")) for k, tpl in VARIANTS])
