@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregate import group_quartiles
-from .ranking import previous_within
+from .ranking import hot_keys, previous_within
 
 # Fixed values that must equal the reference's rules.
 Z_THRESHOLD = 3.0  # both alert kinds
@@ -96,14 +96,42 @@ def weather_anomalies(df: DataFrame, z_thresh: float = Z_THRESHOLD, approx: bool
 
     Columns: city, time, temperature_2m, temp_z, precipitation,
     precip_outlier, wind_speed_10m.
+
+    The per-city profile (mean and stddev of temperature, quartiles of
+    precipitation) is one aggregate when no city is hot; hot cities get
+    their quartiles from the rank-based path instead.
     """
     x = df.select("city", "time", "temperature_2m", "precipitation", "wind_speed_10m")
-    x = zscore_by_group(x, ["city"], "temperature_2m", out="temp_z")
-    x = iqr_outlier(x, "precipitation", ["city"], out="precip_outlier", approx=approx)
-    alert = (F.abs("temp_z") >= F.lit(float(z_thresh))) | (F.col("precip_outlier") == F.lit(True))
-    return x.where(alert).select(
-        "city", "time", "temperature_2m", "temp_z", "precipitation", "precip_outlier", "wind_speed_10m"
+    present = x.where(F.col("city").isNotNull())
+    moments = [F.avg("temperature_2m").alias("_mean"), F.stddev_pop("temperature_2m").alias("_std")]
+    hot = None if approx else hot_keys(present, ["city"])
+    if approx or hot is None:
+        quart = (
+            F.percentile_approx("precipitation", [0.25, 0.75], 10000)
+            if approx
+            else F.percentile(F.col("precipitation"), F.array(F.lit(0.25), F.lit(0.75)))
+        )
+        prof = present.groupBy("city").agg(*moments, quart.alias("_q")).select(
+            "city", "_mean", "_std", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")
+        )
+    else:
+        prof = present.groupBy("city").agg(*moments).join(
+            group_quartiles(present, ["city"], "precipitation"), "city", "left"
+        )
+    j = x.join(prof, on="city", how="left")
+    iqr = F.col("q3") - F.col("q1")
+    inside = F.col("precipitation").between(F.col("q1") - IQR_FACTOR * iqr, F.col("q3") + IQR_FACTOR * iqr)
+    out = j.select(
+        "city",
+        "time",
+        "temperature_2m",
+        zscore(F.col("temperature_2m"), F.col("_mean"), F.col("_std")).alias("temp_z"),
+        "precipitation",
+        F.when(F.col("city").isNotNull(), ~F.coalesce(inside, F.lit(False))).alias("precip_outlier"),
+        "wind_speed_10m",
     )
+    alert = (F.abs("temp_z") >= F.lit(float(z_thresh))) | (F.col("precip_outlier") == F.lit(True))
+    return out.where(alert)
 
 
 def _present(by: list[str]) -> Column:
