@@ -4,7 +4,9 @@ as built-in column expressions.
 Covers the cases of RFC 3986 section 5.2 that web pages use: absolute
 references, network-path (``//host``), absolute-path (``/x``), query-only
 (``?q``), fragment-only (``#f``), empty, and relative paths with ``.`` and
-``..`` segments (removed by a fold over the path segments).
+``..`` segments (removed by a fold over the path segments).  Like the
+standard library resolver the reference uses, a merged relative path drops
+empty inner segments (``a//b`` -> ``a/b``).
 """
 
 from __future__ import annotations
@@ -22,10 +24,20 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def remove_dot_segments(path: Column) -> Column:
+def _squeeze_inner(segs: Column) -> Column:
+    """Drop empty segments between the first and the last (a merged relative
+    reference never keeps doubled slashes)."""
+    n = F.size(segs)
+    inner = F.filter(F.slice(segs, 2, n - 2), lambda x: x != "")
+    return F.when(n > 2, F.concat(F.slice(segs, 1, 1), inner, F.slice(segs, -1, 1))).otherwise(segs)
+
+
+def remove_dot_segments(path: Column, squeeze: Column | bool = False) -> Column:
     """Drop ``.`` segments and let ``..`` remove the segment before it (never
-    the root); a trailing ``.``/``..`` leaves a trailing slash."""
+    the root); a trailing ``.``/``..`` leaves a trailing slash.  With
+    ``squeeze``, empty inner segments are dropped first."""
     segs = F.split(path, "/")
+    segs = F.when(F.lit(squeeze) if isinstance(squeeze, bool) else squeeze, _squeeze_inner(segs)).otherwise(segs)
     folded = F.aggregate(
         segs,
         F.array().cast("array<string>"),
@@ -49,6 +61,9 @@ def base_of(url: str | Column) -> Column:
 def resolve_url(base: str | Column, href: str | Column) -> Column:
     """Absolute URL of ``href`` as seen from a page at ``base``."""
     base, href = _col(base), _col(href)
+    # '//' followed by an empty authority is a path reference: drop the '//'.
+    no_auth = href.rlike(r"^//([/?#]|$)")
+    href = F.when(no_auth, F.substring(href, 3, 1 << 30)).otherwise(href)
     scheme = F.regexp_extract(base, _SCHEME, 1)
     origin = F.concat(scheme, F.lit("://"), F.regexp_extract(base, _AUTHORITY, 1))
     bpath = F.regexp_extract(base, _PATH, 1)
@@ -60,16 +75,18 @@ def resolve_url(base: str | Column, href: str | Column) -> Column:
     merged = F.when(hpath.startswith("/"), hpath).otherwise(F.concat(bdir, hpath))
     return (
         F.when(href.rlike(_SCHEME), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href == "", base)
+        .when(~no_auth & href.startswith("//"), F.concat(scheme, F.lit(":"), href))
+        .when(href == "", F.when(no_auth, F.concat(origin, bpath, bquery)).otherwise(base))
         .when(href.startswith("#"), F.concat(origin, bpath, bquery, href))
         .when(href.startswith("?"), F.concat(origin, bpath, href))
-        .otherwise(F.concat(origin, remove_dot_segments(merged), hrest))
+        .otherwise(F.concat(origin, remove_dot_segments(merged, ~hpath.startswith("/")), hrest))
     )
 
 
 def resolve_url_sql(base: str, href: str) -> str:
     """The same resolution as a DuckDB SQL expression (for the oracle)."""
+    no_auth = f"regexp_matches({href}, '^//([/?#]|$)')"
+    href = f"(CASE WHEN {no_auth} THEN substr({href}, 3) ELSE {href} END)"
     scheme = f"regexp_extract({base}, '{_SCHEME}', 1)"
     origin = f"({scheme} || '://' || regexp_extract({base}, '{_AUTHORITY}', 1))"
     bpath = f"regexp_extract({base}, '{_PATH}', 1)"
@@ -79,7 +96,12 @@ def resolve_url_sql(base: str, href: str) -> str:
     bdir = f"regexp_replace({bpath}, '[^/]*$', '')"
     bdir = f"(CASE WHEN {bdir} = '' THEN '/' ELSE {bdir} END)"
     merged = f"(CASE WHEN starts_with({hpath}, '/') THEN {hpath} ELSE {bdir} || {hpath} END)"
-    segs = f"string_split({merged}, '/')"
+    raw = f"string_split({merged}, '/')"
+    squeezed = (
+        f"(CASE WHEN len({raw}) > 2 THEN list_concat(list_concat([{raw}[1]], "
+        f"list_filter({raw}[2:len({raw}) - 1], lambda x: x <> '')), [{raw}[len({raw})]]) ELSE {raw} END)"
+    )
+    segs = f"(CASE WHEN starts_with({hpath}, '/') THEN {raw} ELSE {squeezed} END)"
     fold = (
         f"list_reduce({segs}, lambda acc, x: CASE WHEN x = '..' THEN "
         f"(CASE WHEN len(acc) > 1 THEN acc[:-2] ELSE acc END) WHEN x = '.' THEN acc "
@@ -90,8 +112,8 @@ def resolve_url_sql(base: str, href: str) -> str:
     path = f"(CASE WHEN {joined} = '' THEN '/' ELSE {joined} END)"
     return (
         f"(CASE WHEN regexp_matches({href}, '{_SCHEME}') THEN {href} "
-        f"WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href} "
-        f"WHEN {href} = '' THEN {base} "
+        f"WHEN NOT {no_auth} AND starts_with({href}, '//') THEN {scheme} || ':' || {href} "
+        f"WHEN {href} = '' THEN (CASE WHEN {no_auth} THEN {origin} || {bpath} || {bquery} ELSE {base} END) "
         f"WHEN starts_with({href}, '#') THEN {origin} || {bpath} || {bquery} || {href} "
         f"WHEN starts_with({href}, '?') THEN {origin} || {bpath} || {href} "
         f"ELSE {origin} || {path} || {hrest} END)"

@@ -145,7 +145,8 @@ def test_resolve_url_matches_urljoin(spark):
     bases = ["http://h.ex/a/b/c", "https://h.ex/a/b/", "http://h.ex", "http://h.ex/a/b?q=1#f",
              "https://m.h.ex/en/25#top", "http://h.ex/x/y/z.html?page=2&r=x"]
     refs = ["../d", "..", ".", "./", "../../x", "x", "?p=2", "#g", "", "//c.ex/y", "/x/../y/./z", "x/..",
-            "../../../../e", "a/./b/../c?z=1#k", "https://abs.ex/p", "mailto:x@y.z", "/", "g;x?y#s", "../g"]
+            "../../../../e", "a/./b/../c?z=1#k", "https://abs.ex/p", "mailto:x@y.z", "/", "g;x?y#s", "../g",
+            "a//b", "//", "///", "///a/../b", "//?x", "//#y", "////a/b", "//a/../b"]
     pairs = list(itertools.product(bases, refs))
     df = spark.createDataFrame(pairs, "base string, href string")
     got = {(r["base"], r["href"]): r["u"] for r in df.select("base", "href", resolve_url("base", "href").alias("u")).collect()}
