@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import posixpath
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -9,9 +12,11 @@ from ..operators import documents as D
 from ..operators import quality as Q
 from ..operators import upsert as U
 from ..operators.ranking import dense_ids
+from ..session import checkpoint_dir
 from . import adapters as AD
 from . import serving as SV
 from . import standins as SI
+from . import tables as TB
 from .queries_core import P_SQL, W_SQL, with_
 from .registry import query, rounded
 
@@ -557,12 +562,19 @@ SELECT heads.url, product_name, source, created_at, n_prices, first_scraped_at,
 FROM heads JOIN s ON heads.url = s.url""",
 )
 def q_documents_history(spark, sf):
+    # Two loads, each written as a table version and read back by the next,
+    # as the document load job does (lineage cut at every version).
     a, b = _price_loads(spark, sf)
-    heads0 = spark.createDataFrame([], D.PRODUCT_HEAD)
-    hist0 = spark.createDataFrame([], D.PRICE_HISTORY)
-    h1, hist1 = D.upsert_product_docs(heads0, hist0, a, "2024-01-16 00:00:00", "load-a", ["ordinal"])
-    h2, hist2 = D.upsert_product_docs(h1, hist1, b, SI.AS_OF, "load-b", ["ordinal"])
-    return rounded(D.history_summary(h2, hist2))
+    root = posixpath.join(checkpoint_dir(spark), f"documents-{uuid.uuid4().hex}")
+    for batch, as_of, batch_id in ((a, "2024-01-16 00:00:00", "load-a"), (b, SI.AS_OF, "load-b")):
+        heads = TB.read_current(spark, root, "product_heads", D.PRODUCT_HEAD)
+        hist = TB.read_current(spark, root, "price_history", D.PRICE_HISTORY)
+        heads, hist = D.upsert_product_docs(heads, hist, batch, as_of, batch_id, ["ordinal"])
+        TB.write_version(heads, root, "product_heads")
+        TB.write_version(hist, root, "price_history")
+    heads = TB.read_current(spark, root, "product_heads", D.PRODUCT_HEAD)
+    hist = TB.read_current(spark, root, "price_history", D.PRICE_HISTORY)
+    return rounded(D.history_summary(heads, hist))
 
 
 @query(
