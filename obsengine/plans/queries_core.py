@@ -231,7 +231,7 @@ WHERE rn = 1""",
 )
 def q_dedup_keep_last(spark, sf):
     p = _products(spark, sf).select("url", "scraped_at", "ordinal", "price_gbp", "rating_1to5")
-    return C.keep_last(p, ["url", "scraped_at"], ["scraped_at", "ordinal"])
+    return rounded(C.keep_last(p, ["url", "scraped_at"], ["scraped_at", "ordinal"]))
 
 
 @query(

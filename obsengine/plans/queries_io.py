@@ -184,7 +184,7 @@ SELECT page_id, link_no, form, ref, {resolve_url_sql('url', 'ref')} AS resolved
 def q_url_resolve(spark, sf):
     pages = AD.table(spark, sf, "pages")
     links = pages.select("page_id", "url", F.posexplode(H.links("html")).alias("link_no", "href"))
-    links = links.withColumn("href", H.decode_entities("href"))
+    links = links.withColumn("href", H.decode_entities("href")).withColumn("link_no", F.col("link_no").cast("bigint"))
     h = F.col("href")
     t = F.substring(h, 2, 1 << 30)
     forms = F.array(*[F.struct(F.lit(k).alias("form"), _variant_spark(tpl, h, t).alias("ref")) for k, tpl in VARIANTS])
@@ -220,7 +220,7 @@ def q_json_hourly_explode(spark, sf):
 SELECT c_custkey AS query,
        CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c_name END AS name,
        round(CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c_acctbal / 100 END, 6) AS latitude,
-       round(CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c_nationkey + 0.5 END, 6) AS longitude,
+       round(CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE CAST(c_nationkey AS DOUBLE) + 0.5 END, 6) AS longitude,
        CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL
             WHEN c_nationkey % 5 = 0 THEN '' ELSE n_name END AS country,
        CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'no result' ELSE 'ok' END AS status

@@ -51,4 +51,7 @@ def page_links(pages: DataFrame) -> DataFrame:
     against the page's url."""
     x = pages.select("page_id", "url", F.posexplode(H.links("html")).alias("link_no", "href"))
     href = H.decode_entities("href")
-    return x.select("page_id", "link_no", href.alias("href"), resolve_url("url", href).alias("link"))
+    return x.select(
+        "page_id", F.col("link_no").cast("bigint").alias("link_no"), href.alias("href"),
+        resolve_url("url", href).alias("link"),
+    )

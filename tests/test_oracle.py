@@ -55,10 +55,18 @@ def test_every_query_has_an_oracle():
     assert set(q) - set(o) == set()
 
 
+SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_equals_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    exp = duck.execute(E.oracle_sql()[name]).df()
+    df = E.queries()[name](spark, SF)
+    rel = duck.sql(E.oracle_sql()[name])
+    spark_types = {f.name: SQL_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got = df.toPandas()
+    exp = rel.df()
     gc, gr = _rows(got)
     ec, er = _rows(exp)
     assert gc == ec
