@@ -115,3 +115,17 @@ def test_write_sorted_layout(spark, tmp_path):
     tables.write_sorted(df, str(tmp_path / "s"), ["k"], "t")
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == 15 and back.select(F.max("t")).first()[0] == dt.datetime(2025, 1, 1, 4)
+
+
+def test_version_rerun_after_failed_attempt(spark, tmp_path):
+    from obsengine.plans import tables as TB
+
+    root = str(tmp_path / "t")
+    df = spark.createDataFrame([(1,)], "x int")
+    # A failed attempt left data for v000001 but no commit marker.
+    df.write.parquet(os.path.join(root, "tab", "data", "v000001"))
+    assert TB.read_current(spark, root, "tab", df.schema).count() == 0
+    TB.write_version(spark.createDataFrame([(2,), (3,)], "x int"), root, "tab")
+    assert sorted(r["x"] for r in TB.read_current(spark, root, "tab", df.schema).collect()) == [2, 3]
+    TB.write_version(df, root, "tab")
+    assert [r["x"] for r in TB.read_current(spark, root, "tab", df.schema).collect()] == [1]
