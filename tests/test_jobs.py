@@ -34,12 +34,12 @@ def _raw(tmp_path):
         'https://s/cat/,"Kettle, large",12.5,Out,5,https://s/p/1,2025-09-09T10:00:00Z\n',
         "https://s/cat/,Plate,3.0,In stock,2,https://s/p/3,2025-09-09T10:00:00Z\n",
     ])
-    (d / "weather_hourly_Goiânia_2025-09-08.csv").write_text(
+    (d / "weather_hourly_Maringá_2025-09-08.csv").write_text(
         "city,time,temperature_2m,precipitation,relative_humidity_2m,wind_speed_10m\n"
-        "Goiânia,2025-09-08T00:00,20.5,0.0,50,3\nGoiânia,2025-09-08T01:00,95,1.0,40,2\n", encoding="utf-8")
-    (d / "weather_hourly_Goiânia_2025-09-09.csv").write_text(
+        "Maringá,2025-09-08T00:00,20.5,0.0,50,3\nMaringá,2025-09-08T01:00,95,1.0,40,2\n", encoding="utf-8")
+    (d / "weather_hourly_Maringá_2025-09-09.csv").write_text(
         "time,city,wind_speed_10m,relative_humidity_2m,precipitation,temperature_2m\n"
-        "2025-09-09T00:00,Goiânia,4,60,1.5,18.0\n", encoding="utf-8")
+        "2025-09-09T00:00,Maringá,4,60,1.5,18.0\n", encoding="utf-8")
     return d
 
 
@@ -69,7 +69,7 @@ def test_load_warehouse_twice(spark, tmp_path):
     dim = tables.read_current(spark, wh, "dim_product", U.DIM_PRODUCT)
     assert sorted((r["product_id"], r["url"]) for r in dim.collect()) == [(1, "https://s/p/1"), (2, "https://s/p/3")]
     city = tables.read_current(spark, wh, "dim_city", U.DIM_CITY).first()
-    assert (city["city_name"], city["country"]) == ("Goiânia", "")
+    assert (city["city_name"], city["country"]) == ("Maringá", "")
     _products(raw, "2025-09-10", ["https://s/cat/,Bowl,4.0,In stock,1,https://s/p/4,2025-09-10T09:00:00Z\n",
                                   "https://s/cat/,Plate v2,3.5,In stock,2,https://s/p/3,2025-09-09T10:00:00Z\n"])
     BJ.load_warehouse(spark, str(raw), wh, as_of="2025-09-10 12:00:00")

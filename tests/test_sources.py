@@ -27,16 +27,16 @@ def _write(path, text):
 def test_csv_family_unites_by_header_name(spark, tmp_path):
     d = tmp_path / "data"
     d.mkdir()
-    _write(d / "weather_hourly_Goiânia_2025-09-08.csv",
+    _write(d / "weather_hourly_Maringá_2025-09-08.csv",
            "city,time,temperature_2m,precipitation,relative_humidity_2m,wind_speed_10m\n"
-           "Goiânia,2025-09-08T00:00,20.5,0.0,50,3\n")
+           "Maringá,2025-09-08T00:00,20.5,0.0,50,3\n")
     _write(d / "weather_hourly_Sao_Paulo_2025-09-09.csv",
            "time,city,wind_speed_10m,relative_humidity_2m,precipitation,temperature_2m,extra\n"
            "2025-09-09T01:00,Sao Paulo,4,60,1.5,18.0,x\n")
     _write(d / "notes.txt", "ignore me\n")
     df = CF.read_csv_family(spark, str(d), CF.WEATHER_GLOB)
     got = rows(df, "city", "time", "temperature_2m", "wind_speed_10m", "extra")
-    assert got == [("Goiânia", "2025-09-08T00:00", "20.5", "3", None),
+    assert got == [("Maringá", "2025-09-08T00:00", "20.5", "3", None),
                    ("Sao Paulo", "2025-09-09T01:00", "18.0", "4", "x")]
     assert CF.read_csv_family(spark, str(d), CF.PRODUCTS_GLOB) is None  # family absent: skipped
 

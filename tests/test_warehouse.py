@@ -58,19 +58,19 @@ def test_upsert_fact_price(spark):
 
 
 def test_upsert_city_and_single_key_lookup(spark):
-    cities = spark.createDataFrame([(1, "Goiania", "", None, None)], U.DIM_CITY)
+    cities = spark.createDataFrame([(1, "Cuiaba", "", None, None)], U.DIM_CITY)
     batch = spark.createDataFrame(
-        [("Goiania", None, 1.5, 2.5), ("Goiania", "BR", None, None), ("Brasília", None, None, None)],
+        [("Cuiaba", None, 1.5, 2.5), ("Cuiaba", "BR", None, None), ("Florianópolis", None, None, None)],
         "city_name string, country string, latitude double, longitude double",
     )
     out = U.upsert_dim_city(cities, batch)
     got = {(r["city_name"], r["country"]): r for r in out.collect()}
-    assert got[("Goiania", "")]["latitude"] == Decimal("1.50000")
-    assert {got[("Goiania", "BR")]["city_id"], got[("Brasília", "")]["city_id"]} == {2, 3}
-    obs = spark.createDataFrame([("Goiania",), ("Brasília",), ("Nowhere",)], "city_name string")
+    assert got[("Cuiaba", "")]["latitude"] == Decimal("1.50000")
+    assert {got[("Cuiaba", "BR")]["city_id"], got[("Florianópolis", "")]["city_id"]} == {2, 3}
+    obs = spark.createDataFrame([("Cuiaba",), ("Florianópolis",), ("Nowhere",)], "city_name string")
     ok, bad = U.lookup_single_key(obs, out, "city_name", "city_id")
-    assert rows(ok, "city_name", "city_id") == [("Brasília", got[("Brasília", "")]["city_id"])]
-    assert rows(bad, "city_name", "reason") == [("Goiania", "ambiguous"), ("Nowhere", "no match")]
+    assert rows(ok, "city_name", "city_id") == [("Florianópolis", got[("Florianópolis", "")]["city_id"])]
+    assert rows(bad, "city_name", "reason") == [("Cuiaba", "ambiguous"), ("Nowhere", "no match")]
 
 
 def test_update_and_delete(spark):
