@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregate import group_quartiles
-from .ranking import hot_keys, previous_within
+from .ranking import UNSET, hot_keys, join_back, previous_within
 
 # Fixed values that must equal the reference's rules.
 Z_THRESHOLD = 3.0  # both alert kinds
@@ -31,24 +31,21 @@ def zscore(x: Column, mean: Column, std: Column) -> Column:
     )
 
 
-def zscore_by_group(df: DataFrame, by: list[str], value: str, out: str = "z") -> DataFrame:
+def zscore_by_group(df: DataFrame, by: list[str], value: str, out: str = "z", hot=UNSET) -> DataFrame:
     """Add ``out`` = z-score of ``value`` within its group (population
     stddev).  Rows with a NULL group key get NULL."""
-    stats = (
-        df.where(_present(by))
-        .groupBy(*by)
-        .agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std"))
-    )
-    j = df.join(stats, on=by, how="left")
+    present = df.where(_present(by))
+    stats = present.groupBy(*by).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std"))
+    j = join_back(df, stats, by, hot=_hot_of(present, by, hot))
     z = zscore(F.col(value), F.col("_mean"), F.col("_std"))
     return j.withColumn(out, z).drop("_mean", "_std")
 
 
-def price_delta(df: DataFrame) -> DataFrame:
+def price_delta(df: DataFrame, hot=UNSET) -> DataFrame:
     """Add ``price_prev`` (previous row's price for the same url in time
     order, missing times last) and ``delta`` = price - previous price."""
     x = df.where(F.col("url").isNotNull()).select("url", "scraped_at", "price_gbp")
-    lagged = previous_within(x, ["url"], ["scraped_at", "price_gbp"], ["price_gbp"], prefix="_p_")
+    lagged = previous_within(x, ["url"], ["scraped_at", "price_gbp"], ["price_gbp"], prefix="_p_", hot=hot)
     return lagged.select(
         "url",
         "scraped_at",
@@ -64,8 +61,9 @@ def price_anomalies(df: DataFrame, z_thresh: float = Z_THRESHOLD) -> DataFrame:
 
     Columns: url, scraped_at, price_gbp, price_prev, delta, delta_z.
     """
-    d = price_delta(df)
-    z = zscore_by_group(d, ["url"], "delta", out="delta_z")
+    hot = hot_keys(df.where(F.col("url").isNotNull()), ["url"])  # found once, used by both steps
+    d = price_delta(df, hot=hot)
+    z = zscore_by_group(d, ["url"], "delta", out="delta_z", hot=hot)
     return z.where(F.col("delta").isNotNull() & (F.abs("delta_z") >= F.lit(float(z_thresh)))).select(
         "url", "scraped_at", "price_gbp", "price_prev", "delta", "delta_z"
     )
@@ -83,7 +81,7 @@ def iqr_outlier(
     its group.  A missing value is flagged (it is not inside the fences); a
     group with no values is flagged whole; a NULL group key gives NULL."""
     q = group_quartiles(df, by, value, approx=approx)
-    j = df.join(q, on=by, how="left")
+    j = join_back(df, q, by)
     iqr = F.col("q3") - F.col("q1")
     inside = F.col(value).between(F.col("q1") - k * iqr, F.col("q3") + k * iqr)
     flag = F.when(_present(by), ~F.coalesce(inside, F.lit(False)))
@@ -118,7 +116,7 @@ def weather_anomalies(df: DataFrame, z_thresh: float = Z_THRESHOLD, approx: bool
         prof = present.groupBy("city").agg(*moments).join(
             group_quartiles(present, ["city"], "precipitation"), "city", "left"
         )
-    j = x.join(prof, on="city", how="left")
+    j = join_back(x, prof, ["city"], hot=hot if not approx else UNSET)
     iqr = F.col("q3") - F.col("q1")
     inside = F.col("precipitation").between(F.col("q1") - IQR_FACTOR * iqr, F.col("q3") + IQR_FACTOR * iqr)
     out = j.select(
@@ -134,6 +132,10 @@ def weather_anomalies(df: DataFrame, z_thresh: float = Z_THRESHOLD, approx: bool
     return out.where(alert)
 
 
+def _hot_of(df: DataFrame, by: list[str], hot):
+    return hot_keys(df, by) if hot is UNSET else hot
+
+
 def _present(by: list[str]) -> Column:
     cond = F.lit(True)
     for k in by:

@@ -31,6 +31,7 @@ from ..session import checkpoint_dir
 BUCKET = "_bucket"
 HOT_ROWS_CONF = "spark.obsengine.hotGroupRows"
 DEFAULT_HOT_ROWS = 1_000_000
+UNSET = object()  # "find the hot keys yourself" (None means: none are hot)
 
 
 def _n_buckets(df: DataFrame, n: int | None) -> int:
@@ -80,6 +81,27 @@ def _union(a: DataFrame | None, b: DataFrame) -> DataFrame:
     return b if a is None else a.unionByName(b)
 
 
+def _hot(df, keys, hot, hot_rows):
+    return hot_keys(df, keys, hot_rows) if hot is UNSET else hot
+
+
+def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str], hot=UNSET,
+              hot_rows: int | None = None) -> DataFrame:
+    """Left-join per-key statistics (one row per key) back to the rows.
+
+    Rows of hot keys are joined to their keys' statistics broadcast (at most
+    rows / hotGroupRows statistics rows), so a hot key never lands in one
+    shuffle partition; the other rows take an ordinary join.
+    """
+    keys = list(keys)
+    hot = _hot(rows, keys, hot, hot_rows)
+    if hot is None:
+        return rows.join(stats, on=keys, how="left")
+    cold, heat = _split(rows, keys, hot)
+    hot_stats = stats.join(F.broadcast(hot), keys, "left_semi")
+    return cold.join(stats, on=keys, how="left").unionByName(heat.join(F.broadcast(hot_stats), on=keys, how="left"))
+
+
 def range_buckets(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int | None = None
 ) -> DataFrame:
@@ -141,13 +163,14 @@ def rank_within(
     size_col: str = "_group_n",
     n: int | None = None,
     hot_rows: int | None = None,
+    hot=UNSET,
 ) -> DataFrame:
     """Add the 0-based position of each row within its key group, and the
     group's size.  Equivalent to ``row_number() - 1`` and ``count(*)`` over
     ``PARTITION BY keys ORDER BY order``, without an oversized task.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys, hot_rows)
+    hot = _hot(df, keys, hot, hot_rows)
     if hot is None:
         return _rank_window(df, keys, order, rank_col, size_col)
     cold, heat = _split(df, keys, hot)
@@ -196,13 +219,14 @@ def previous_within(
     prefix: str = "prev_",
     n: int | None = None,
     hot_rows: int | None = None,
+    hot=UNSET,
 ) -> DataFrame:
     """Add ``prefix + c``: the value of ``c`` on the previous row of the same
     key group in ``order`` (NULL on a group's first row).  Same result as
     ``lag(c, 1) OVER (PARTITION BY keys ORDER BY order)``.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys, hot_rows)
+    hot = _hot(df, keys, hot, hot_rows)
     if hot is None:
         return _lag_window(df, keys, order, cols, prefix)
     cold, heat = _split(df, keys, hot)
