@@ -86,20 +86,21 @@ def _hot(df, keys, hot, hot_rows):
 
 
 def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str], hot=UNSET,
-              hot_rows: int | None = None) -> DataFrame:
-    """Left-join per-key statistics (one row per key) back to the rows.
+              hot_rows: int | None = None, how: str = "left") -> DataFrame:
+    """Join per-key rows (one row per key: statistics, a dimension) to the
+    many rows of each key (``how`` is 'left' or 'inner').
 
-    Rows of hot keys are joined to their keys' statistics broadcast (at most
-    rows / hotGroupRows statistics rows), so a hot key never lands in one
-    shuffle partition; the other rows take an ordinary join.
+    Rows of hot keys are joined to their keys' rows broadcast (at most
+    rows / hotGroupRows of them), so a hot key never lands in one shuffle
+    partition; the other rows take an ordinary join.
     """
     keys = list(keys)
     hot = _hot(rows, keys, hot, hot_rows)
     if hot is None:
-        return rows.join(stats, on=keys, how="left")
+        return rows.join(stats, on=keys, how=how)
     cold, heat = _split(rows, keys, hot)
     hot_stats = stats.join(F.broadcast(hot), keys, "left_semi")
-    return cold.join(stats, on=keys, how="left").unionByName(heat.join(F.broadcast(hot_stats), on=keys, how="left"))
+    return cold.join(stats, on=keys, how=how).unionByName(heat.join(F.broadcast(hot_stats), on=keys, how=how))
 
 
 def range_buckets(

@@ -135,3 +135,19 @@ def test_weather_documents(spark):
     assert rows(docs, "city", "temperature_2m", "relative_humidity_2m") == [("Cidade", 1.0, 2.0), ("X", 9.0, None)]
     upd = D.upsert_weather_docs(docs, w.where("o = 2"), order=["o"])
     assert rows(upd, "city", "temperature_2m") == [("Cidade", 1.0), ("X", 1.0)]
+
+
+def test_lookup_with_a_hot_key(spark):
+    from obsengine.operators import ranking as R
+
+    rows = spark.createDataFrame([("https://x/a", i) for i in range(50)] + [("https://x/b", 1), ("https://x/z", 2)],
+                                 "url string, o int")
+    spark.conf.set(R.HOT_ROWS_CONF, "10")
+    try:
+        got = U.lookup_key(rows, dim(spark), "url", "product_id").groupBy("product_id").count().collect()
+        ok, bad = U.lookup_single_key(rows, dim(spark), "url", "product_id")
+        n_ok, n_bad = ok.count(), bad.count()
+    finally:
+        spark.conf.unset(R.HOT_ROWS_CONF)
+    assert sorted((r["product_id"], r["count"]) for r in got) == [(1, 50), (2, 1)]
+    assert (n_ok, n_bad) == (51, 1)
