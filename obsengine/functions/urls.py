@@ -118,3 +118,75 @@ def resolve_url_sql(base: str, href: str) -> str:
         f"WHEN starts_with({href}, '?') THEN {origin} || {bpath} || {href} "
         f"ELSE {origin} || {path} || {hrest} END)"
     )
+
+
+def with_resolved_url(df, base: str, href: str, out: str):
+    """``df`` plus column ``out`` = ``href`` resolved against ``base`` (same
+    result as ``resolve_url``).
+
+    The resolution reads each intermediate (normalised reference, its path,
+    the merged path, the path segments) several times; as one expression
+    every reading would repeat the regular expressions behind it.  Here each
+    intermediate is computed once, as a column of a staged projection (Spark
+    keeps projections apart rather than duplicate regex work), and the
+    helper columns are dropped at the end.
+    """
+    cols = df.columns
+    b, h0 = F.col(base), F.col(href)
+    s1 = df.select(
+        *cols,
+        h0.rlike(r"^//([/?#]|$)").alias("_u_na"),
+        F.regexp_extract(b, _SCHEME, 1).alias("_u_scheme"),
+        F.regexp_extract(b, _AUTHORITY, 1).alias("_u_auth"),
+        F.regexp_extract(b, _PATH, 1).alias("_u_bpath"),
+        F.regexp_extract(b, _QUERY, 1).alias("_u_bquery"),
+    )
+    s2 = s1.select(
+        "*",
+        F.when(F.col("_u_na"), F.substring(h0, 3, 1 << 30)).otherwise(h0).alias("_u_h"),
+        F.regexp_replace("_u_bpath", r"[^/]*$", "").alias("_u_bdir0"),
+    )
+    h = F.col("_u_h")
+    s3 = s2.select(
+        "*",
+        F.regexp_extract(h, r"^([^?#]*)", 1).alias("_u_hpath"),
+        F.regexp_extract(h, r"^[^?#]*(.*)$", 1).alias("_u_hrest"),
+        F.concat("_u_scheme", F.lit("://"), "_u_auth").alias("_u_origin"),
+    )
+    hpath = F.col("_u_hpath")
+    bdir = F.when(F.col("_u_bdir0") == "", F.lit("/")).otherwise(F.col("_u_bdir0"))
+    s4 = s3.select(
+        "*",
+        F.split(F.when(hpath.startswith("/"), hpath).otherwise(F.concat(bdir, hpath)), "/").alias("_u_raw"),
+    )
+    s5 = s4.select(
+        "*",
+        F.when(hpath.startswith("/"), F.col("_u_raw")).otherwise(_squeeze_inner(F.col("_u_raw"))).alias("_u_segs"),
+    )
+    segs = F.col("_u_segs")
+    s6 = s5.select(
+        "*",
+        F.aggregate(
+            segs,
+            F.array().cast("array<string>"),
+            lambda acc, x: F.when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
+            .when(x == ".", acc)
+            .otherwise(F.array_append(acc, x)),
+        ).alias("_u_fold"),
+    )
+    fold = F.when(F.element_at(segs, -1).isin(".", ".."), F.array_append("_u_fold", F.lit(""))).otherwise(
+        F.col("_u_fold")
+    )
+    s7 = s6.select("*", F.array_join(fold, "/").alias("_u_joined"))
+    path = F.when(F.col("_u_joined") == "", F.lit("/")).otherwise(F.col("_u_joined"))
+    origin, bpath, bquery = F.col("_u_origin"), F.col("_u_bpath"), F.col("_u_bquery")
+    na = F.col("_u_na")
+    resolved = (
+        F.when(h.rlike(_SCHEME), h)
+        .when(~na & h.startswith("//"), F.concat(F.col("_u_scheme"), F.lit(":"), h))
+        .when(h == "", F.when(na, F.concat(origin, bpath, bquery)).otherwise(b))
+        .when(h.startswith("#"), F.concat(origin, bpath, bquery, h))
+        .when(h.startswith("?"), F.concat(origin, bpath, h))
+        .otherwise(F.concat(origin, path, F.col("_u_hrest")))
+    )
+    return s7.select(*cols, F.when(h0.isNotNull(), resolved).alias(out))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import scalars as S
-from ..functions.urls import resolve_url, resolve_url_sql
+from ..functions.urls import resolve_url_sql, with_resolved_url
 from ..operators import aggregate as A
 from ..operators import clean as C
 from ..session import checkpoint_dir
@@ -59,6 +59,24 @@ def q_html_card_extract(spark, sf):
     return rounded(cards.drop("page_id", "card_no"))
 
 
+@query(
+    "category_crawl",
+    "WITH" + CARD_TRUTH_SQL + """
+, r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS pos FROM ct)
+SELECT source || 'page-1.html' AS start_url, CAST(pos // 20 AS INTEGER) AS hop, source, product_name,
+       round(price_gbp, 6) AS price_gbp, availability, rating_1to5, url,
+       TIMESTAMP '2024-06-01 00:00:00' AS scraped_at
+FROM r WHERE pos < 60""",
+)
+def q_category_crawl(spark, sf):
+    # Fetched pages live in a table: store the built listing pages first.
+    path = _scratch(spark, "listing-pages")
+    _listing(spark, sf).write.parquet(path)
+    pages = spark.read.parquet(path)
+    starts = pages.where(F.col("url").endswith("/page-1.html")).select(F.col("url").alias("start_url"))
+    return rounded(PG.category_cards(pages, starts, as_of=AS_OF))
+
+
 @query(
     "price_text_parse",
     """
@@ -189,7 +207,7 @@ def q_url_resolve(spark, sf):
     t = F.substring(h, 2, 1 << 30)
     forms = F.array(*[F.struct(F.lit(k).alias("form"), _variant_spark(tpl, h, t).alias("ref")) for k, tpl in VARIANTS])
     x = links.select("page_id", "link_no", "url", F.inline(forms))
-    return x.select("page_id", "link_no", "form", "ref", resolve_url("url", "ref").alias("resolved"))
+    return with_resolved_url(x, "url", "ref", "resolved").select("page_id", "link_no", "form", "ref", "resolved")
 
 
 # ------------------------------------------------------------- payloads

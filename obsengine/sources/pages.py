@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.scalars import price_text_to_double, rating_word_to_int
-from ..functions.urls import base_of, resolve_url
+from ..functions.urls import base_of, with_resolved_url
+from ..session import checkpoint_dir
 
 
 def product_cards(pages: DataFrame, lenient: bool = False, as_of=None) -> DataFrame:
@@ -27,7 +28,9 @@ def product_cards(pages: DataFrame, lenient: bool = False, as_of=None) -> DataFr
     base = base_of("url")
     c = pages.select("page_id", base.alias("source"), F.posexplode(H.cards("html")).alias("card_no", "card"))
     stamp = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
-    return c.select(
+    # Fields first, URL resolution after: the resolver reads its href many
+    # times, so the href must be a column, not a regex over the card.
+    fields = c.select(
         "page_id",
         "card_no",
         "source",
@@ -35,23 +38,74 @@ def product_cards(pages: DataFrame, lenient: bool = False, as_of=None) -> DataFr
         price_text_to_double(H.card_price_text("card"), lenient=lenient).alias("price_gbp"),
         H.card_availability("card").alias("availability"),
         rating_word_to_int(H.card_rating_word("card")).cast("int").alias("rating_1to5"),
-        resolve_url(F.col("source"), H.card_href("card")).alias("url"),
+        H.card_href("card").alias("_href"),
+    )
+    resolved = with_resolved_url(fields, "source", "_href", "url")
+    return resolved.select(
+        "page_id", "card_no", "source", "product_name", "price_gbp", "availability", "rating_1to5", "url",
         stamp.alias("scraped_at"),
     )
 
 
 def next_links(pages: DataFrame) -> DataFrame:
     """(page_id, url, next_url): the resolved next-page link, NULL if none."""
-    nxt = H.next_href("html")
-    return pages.select("page_id", "url", F.when(nxt.isNotNull(), resolve_url("url", nxt)).alias("next_url"))
+    # The href is a column before it is resolved (the resolver reads it many
+    # times; it must not re-run a regex over the whole page each time).
+    x = pages.select("page_id", "url", H.next_href("html").alias("_href"))
+    return with_resolved_url(x, "url", "_href", "next_url").drop("_href")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, link_no, href, link): every anchor of every page, resolved
     against the page's url."""
     x = pages.select("page_id", "url", F.posexplode(H.links("html")).alias("link_no", "href"))
-    href = H.decode_entities("href")
-    return x.select(
-        "page_id", F.col("link_no").cast("bigint").alias("link_no"), href.alias("href"),
-        resolve_url("url", href).alias("link"),
+    x = x.select("page_id", "url", F.col("link_no").cast("bigint").alias("link_no"),
+                 H.decode_entities("href").alias("href"))
+    return with_resolved_url(x, "url", "href", "link").select("page_id", "link_no", "href", "link")
+
+
+# Fixed value that must equal the reference: pages visited per category.
+MAX_PAGES = 3
+
+
+def crawl(pages: DataFrame, starts: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+    """The pages a category crawl visits, over a table of fetched pages.
+
+    From each ``start_url`` (column of ``starts``) the crawl follows the
+    resolved next-page link until there is none or ``max_pages`` pages have
+    been visited; like the reference it keeps no visited set.  Returns
+    (start_url, hop, page_id, url, html).  The walk only joins the narrow
+    (url -> next url) table, ``max_pages`` times; the html is joined once at
+    the end.
+    """
+    # One regex pass over the html; the narrow link table (a row per page)
+    # is kept as a reliable checkpoint so every hop reads it, not the pages.
+    checkpoint_dir(pages.sparkSession)
+    links = (
+        next_links(pages)
+        .where(F.col("next_url").isNotNull())
+        .select(F.col("url").alias("_from"), F.col("next_url").alias("_to"))
+        .checkpoint(eager=True)
     )
+    step = starts.select("start_url", F.col("start_url").alias("url"), F.lit(0).alias("hop"))
+    walked = [step]
+    for hop in range(1, max_pages):
+        step = (
+            step.join(links, step.url == links._from)
+            .where(F.col("_to").isNotNull())
+            .select("start_url", F.col("_to").alias("url"), F.lit(hop).alias("hop"))
+        )
+        walked.append(step)
+    visits = walked[0]
+    for w in walked[1:]:
+        visits = visits.unionByName(w)
+    return visits.join(pages, "url").select("start_url", "hop", "page_id", "url", "html")
+
+
+def category_cards(pages: DataFrame, starts: DataFrame, max_pages: int = MAX_PAGES, lenient: bool = False,
+                   as_of=None) -> DataFrame:
+    """Product cards of every page a category crawl visits, tagged with the
+    crawl's start url and the hop at which the page was reached."""
+    visited = crawl(pages, starts, max_pages)
+    cards = product_cards(visited.select("page_id", "url", "html"), lenient=lenient, as_of=as_of)
+    return visited.select("start_url", "hop", "page_id").join(cards, "page_id").drop("page_id", "card_no")

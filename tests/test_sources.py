@@ -12,7 +12,7 @@ from urllib.parse import urljoin
 from pyspark.sql import functions as F
 
 from conftest import rows
-from obsengine.functions.urls import resolve_url
+from obsengine.functions.urls import resolve_url, with_resolved_url
 from obsengine.sources import csvfolder as CF
 from obsengine.sources import listing as L
 from obsengine.sources import pages as PG
@@ -152,6 +152,8 @@ def test_resolve_url_matches_urljoin(spark):
     got = {(r["base"], r["href"]): r["u"] for r in df.select("base", "href", resolve_url("base", "href").alias("u")).collect()}
     bad = [(b, h, got[(b, h)], urljoin(b, h)) for b, h in pairs if got[(b, h)] != urljoin(b, h)]
     assert not bad, bad[:5]
+    staged = {(r["base"], r["href"]): r["u"] for r in with_resolved_url(df, "base", "href", "u").collect()}
+    assert staged == got
 
 
 def test_ignore_missing_files_on_listing(spark, tmp_path):
