@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .clean import keep_last
-from .ranking import dense_ids, join_back
+from .ranking import dense_ids
 
 B = "_b_"  # prefix of batch columns inside match expressions
 
@@ -108,10 +108,11 @@ def lookup_key(
     rows: DataFrame, dim: DataFrame, on: Sequence[str] | str, key_col: str
 ) -> DataFrame:
     """Attach ``dim``'s surrogate key to ``rows`` by natural key; rows without
-    a match are dropped (inner join).  A natural key with a huge share of
-    the rows meets its dimension row by broadcast (``join_back``)."""
+    a match are dropped (inner join).  The dimension has one row per key: it
+    is broadcast when it measures small, and otherwise a hot key's rows are
+    split by the adaptive skew join, so no hot-key count is paid here."""
     on = [on] if isinstance(on, str) else list(on)
-    return join_back(rows, dim.select(*on, key_col), on, how="inner")
+    return rows.join(dim.select(*on, key_col), on=on, how="inner")
 
 
 def lookup_single_key(
@@ -124,7 +125,7 @@ def lookup_single_key(
     """
     on = [on] if isinstance(on, str) else list(on)
     ids = dim.groupBy(*on).agg(F.count(F.lit(1)).alias("_m"), F.min(key_col).alias(key_col))
-    j = join_back(rows, ids, on)
+    j = rows.join(ids, on=on, how="left")
     ok = j.where(F.col("_m") == 1).drop("_m")
     bad = j.where(F.col("_m").isNull() | (F.col("_m") > 1)).select(
         *rows.columns,
