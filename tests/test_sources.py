@@ -163,3 +163,13 @@ def test_ignore_missing_files_on_listing(spark, tmp_path):
     os.remove(tmp_path / "a.csv")
     time.sleep(0.01)
     assert files.count() in (0, 1)
+
+
+def test_header_sniffing_path_equals_scan_path(spark, tmp_path):
+    d = tmp_path / "fam"
+    d.mkdir()
+    _write(d / "products_2025-09-08.csv", "url,price_gbp\nhttps://x/1,2.0\n")
+    _write(d / "products_2025-09-09.csv", "price_gbp,url,extra\n3.5,https://x/2,e\n")
+    scan = rows(CF.read_csv_family(spark, str(d), CF.PRODUCTS_GLOB), "url", "price_gbp", "extra")
+    sniff = rows(CF.read_csv_family(spark, str(d), CF.PRODUCTS_GLOB, sniff_min_bytes=0), "url", "price_gbp", "extra")
+    assert scan == sniff == [("https://x/1", "2.0", None), ("https://x/2", "3.5", "e")]
