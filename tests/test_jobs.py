@@ -129,3 +129,28 @@ def test_version_rerun_after_failed_attempt(spark, tmp_path):
     assert sorted(r["x"] for r in TB.read_current(spark, root, "tab", df.schema).collect()) == [2, 3]
     TB.write_version(df, root, "tab")
     assert [r["x"] for r in TB.read_current(spark, root, "tab", df.schema).collect()] == [1]
+
+
+def test_run_batch_same_when_every_key_is_hot(spark, tmp_path):
+    from obsengine.operators import ranking as R
+
+    raw = _raw(tmp_path)
+    _products(raw, "2025-09-10", [f"https://s/cat/,Cup,{1.0 + i % 7},In stock,3,https://s/p/2,"
+                                  f"2025-09-10T{i % 24:02d}:{i % 60:02d}:00Z\n" for i in range(40)])
+
+    def outputs(out):
+        BJ.run_batch(spark, str(raw), str(out))
+        res = {}
+        for name in ("agg/daily_price_stats", "alerts/price_anomalies", "agg/weather_daily_stats",
+                     "alerts/weather_anomalies"):
+            df = spark.read.option("header", "true").csv(str(out / name))
+            res[name] = sorted(tuple(r) for r in df.collect())
+        return res
+
+    cold = outputs(tmp_path / "cold")
+    spark.conf.set(R.HOT_ROWS_CONF, "2")
+    try:
+        hot = outputs(tmp_path / "hot")
+    finally:
+        spark.conf.unset(R.HOT_ROWS_CONF)
+    assert hot == cold and len(cold["agg/daily_price_stats"]) > 0
