@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import day_of
-from .ranking import exact_quantiles
+from .ranking import UNSET, exact_quantiles
 
 
 def last_non_null(value: str, order: str):
@@ -72,12 +72,15 @@ def group_quartiles(
     value: str,
     approx: bool = False,
     accuracy: int = 10000,
+    hot=UNSET,
 ) -> DataFrame:
     """Per group: first and third quartile of ``value`` (linear
     interpolation, missing values skipped).
 
-    Exact by default, computed from ranks so no task holds a whole group;
-    ``approx=True`` uses the bounded-memory percentile sketch instead.
+    Exact by default: the ``percentile`` aggregate for ordinary groups and
+    ranks over range buckets for hot ones (``ranking.exact_quantiles``), so
+    no task holds a whole hot group; ``approx=True`` uses the bounded-memory
+    percentile sketch instead.
     """
     x = df.where(_keys_present(by))
     if approx:
@@ -85,7 +88,7 @@ def group_quartiles(
         return x.groupBy(*by).agg(q.alias("_q")).select(
             *by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")
         )
-    return exact_quantiles(x, by, value, [0.25, 0.75], ["q1", "q3"])
+    return exact_quantiles(x, by, value, [0.25, 0.75], ["q1", "q3"], hot=hot)
 
 
 def _keys_present(by: Sequence[str]):

@@ -114,7 +114,7 @@ def weather_anomalies(df: DataFrame, z_thresh: float = Z_THRESHOLD, approx: bool
         )
     else:
         prof = present.groupBy("city").agg(*moments).join(
-            group_quartiles(present, ["city"], "precipitation"), "city", "left"
+            group_quartiles(present, ["city"], "precipitation", hot=hot), "city", "left"
         )
     j = join_back(x, prof, ["city"], hot=hot if not approx else UNSET)
     iqr = F.col("q3") - F.col("q1")

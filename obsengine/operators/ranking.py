@@ -277,6 +277,7 @@ def exact_quantiles(
     names: Sequence[str],
     n: int | None = None,
     hot_rows: int | None = None,
+    hot=UNSET,
 ) -> DataFrame:
     """Per-key quantiles with linear interpolation (NULL values skipped).
 
@@ -289,7 +290,7 @@ def exact_quantiles(
     """
     keys = list(keys)
     x = df.where(F.col(value).isNotNull()).select(*keys, value)
-    hot = hot_keys(x, keys, hot_rows)
+    hot = _hot(x, keys, hot, hot_rows)
     if hot is None:
         return _quantiles_agg(x, keys, value, probs, names)
     cold, heat = _split(x, keys, hot)
