@@ -21,7 +21,7 @@ from ..streaming import daily as SD
 from ..streaming import watch as SW
 from . import adapters as AD
 from . import batch_job as BJ
-from .queries_core import DAILY_WEATHER_SQL, PRODUCTS, WEATHER, zsql
+from .queries_core import DAILY_PRICE_SQL, DAILY_WEATHER_SQL, PRODUCTS, WEATHER, zsql
 from .registry import query, rounded
 
 AS_OF = "2024-06-01 00:00:00"
@@ -430,3 +430,19 @@ def q_stream_daily_agg(spark, sf):
                                 checkpoint=posixpath.join(base, "ckpt"))
     q.awaitTermination()
     return rounded(SD.read_daily(spark, posixpath.join(base, "out")))
+
+
+@query("stream_daily_price", DAILY_PRICE_SQL)
+def q_stream_daily_price(spark, sf):
+    base = _scratch(spark, "stream-price")
+    schema = AD.table(spark, sf, "events").schema
+    src = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(sf)
+    )
+    q = SD.stream_daily_price(spark, AD.price_obs(src), posixpath.join(base, "out"),
+                              checkpoint=posixpath.join(base, "ckpt"))
+    q.awaitTermination()
+    return rounded(SD.read_daily(spark, posixpath.join(base, "out"), family="products"))

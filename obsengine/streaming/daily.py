@@ -22,37 +22,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.aggregate import daily_weather
-from ..operators.clean import clean_weather, keep_last
+from ..operators.aggregate import daily_price, daily_weather
+from ..operators.clean import clean_products, clean_weather, keep_last
 
 
-def _apply_batch(spark: SparkSession, batch: DataFrame, curated: str, daily: str, ordinal: str) -> None:
-    rows = clean_weather(batch.withColumn("_o", F.col(ordinal)).drop(ordinal), ordinal="_o", drop_ordinal=False)
-    rows = rows.withColumn("day", F.to_date("time"))
+# Per family: cleaning chain, dedup key, time column, daily aggregate.
+FAMILIES = {
+    "weather": (clean_weather, ["city", "time"], "time", daily_weather),
+    "products": (clean_products, ["url", "scraped_at"], "scraped_at", daily_price),
+}
+
+
+def _apply_batch(spark: SparkSession, batch: DataFrame, curated: str, daily: str, ordinal: str,
+                 family: str = "weather") -> None:
+    clean, keys, time_col, aggregate = FAMILIES[family]
+    rows = clean(batch.withColumn("_o", F.col(ordinal)).drop(ordinal), ordinal="_o", drop_ordinal=False)
+    rows = rows.withColumn("day", F.to_date(time_col))
     rows.write.mode("append").partitionBy("day").parquet(curated)
 
-    touched = rows.select("city", "day").where(F.col("city").isNotNull() & F.col("day").isNotNull()).distinct()
+    key = keys[0]
+    touched = rows.select(key, "day").where(F.col(key).isNotNull() & F.col("day").isNotNull()).distinct()
     # The days of one batch are bounded by its calendar span: broadcasting
     # them lets the read prune the curated table to those day partitions.
     days = touched.select("day").distinct()
     stored = spark.read.parquet(curated).join(F.broadcast(days), "day", "left_semi")
-    latest = keep_last(stored, ["city", "time"], ["time", "_o"]).join(touched, ["city", "day"], "left_semi")
-    agg = daily_weather(latest.drop("_o"))
+    latest = keep_last(stored, keys, [time_col, "_o"]).join(touched, [key, "day"], "left_semi")
+    agg = aggregate(latest.drop("_o"))
     # Rewrites only the day partitions present in ``agg``.
     agg.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(daily)
 
 
-def stream_daily_weather(
+def stream_daily(
     spark: SparkSession,
     source: DataFrame,
     out: str,
     checkpoint: str,
+    family: str = "weather",
     ordinal: str = "ordinal",
     available_now: bool = True,
     trigger: str = "5 seconds",
 ) -> StreamingQuery:
-    """Start the incremental daily aggregate over a streaming DataFrame of raw
-    weather readings (columns of ``clean_weather`` plus ``ordinal``).
+    """Start the incremental daily aggregate of a family ('weather': daily
+    weather by city; 'products': daily price by url) over a streaming
+    DataFrame of raw rows (the family's raw columns plus ``ordinal``).
 
     Day partitions touched by a micro-batch are re-derived from the curated
     rows; the number of rows read per batch grows with the days it touches,
@@ -62,14 +74,30 @@ def stream_daily_weather(
     daily = posixpath.join(out, "daily")
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
-        _apply_batch(spark, batch, curated, daily, ordinal)
+        _apply_batch(spark, batch, curated, daily, ordinal, family)
 
     w = source.writeStream.foreachBatch(on_batch).option("checkpointLocation", posixpath.join(checkpoint, "daily"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
 
-def read_daily(spark: SparkSession, out: str) -> DataFrame:
-    """The daily table written by ``stream_daily_weather``."""
+def stream_daily_weather(spark: SparkSession, source: DataFrame, out: str, checkpoint: str,
+                         ordinal: str = "ordinal", available_now: bool = True,
+                         trigger: str = "5 seconds") -> StreamingQuery:
+    """``stream_daily`` for the weather family (daily weather per city)."""
+    return stream_daily(spark, source, out, checkpoint, "weather", ordinal, available_now, trigger)
+
+
+def stream_daily_price(spark: SparkSession, source: DataFrame, out: str, checkpoint: str,
+                       ordinal: str = "ordinal", available_now: bool = True,
+                       trigger: str = "5 seconds") -> StreamingQuery:
+    """``stream_daily`` for the products family (daily price per url)."""
+    return stream_daily(spark, source, out, checkpoint, "products", ordinal, available_now, trigger)
+
+
+def read_daily(spark: SparkSession, out: str, family: str = "weather") -> DataFrame:
+    """The daily table written by ``stream_daily``."""
     d = spark.read.parquet(posixpath.join(out, "daily"))
+    if family == "products":
+        return d.select("url", "day", "min_price", "avg_price", "max_price", "last_price", "n_obs")
     return d.select("city", "day", "avg_temp", "avg_rh", "total_precip", "avg_wind", "n_obs")

@@ -79,3 +79,24 @@ def test_watch_runs_once_available_now(spark, tmp_path):
     q = SW.watch(spark, str(d), lambda: runs.append(1), str(tmp_path / "ck"), available_now=True)
     q.awaitTermination()
     assert len(runs) == 1
+
+
+PRICE_SCHEMA = ("source string, product_name string, price_gbp string, availability string, rating_1to5 string, "
+                "url string, scraped_at timestamp, ordinal long")
+
+
+def test_stream_daily_price_equals_batch(spark, tmp_path):
+    t0 = dt.datetime(2025, 9, 8)
+    data = [("s", "P", str(10 + i % 9) if i % 11 else "-1", "x", "3", f" u{i % 4} ",
+             t0 + dt.timedelta(hours=i % 30), i) for i in range(80)]
+    data.append(("s", "P", "99", "x", "3", "u0", t0, 500))   # a late, newer reading of an early key
+    src_dir = tmp_path / "src"
+    for n, chunk in enumerate([data[60:], data[:30], data[30:60]]):
+        spark.createDataFrame(chunk, PRICE_SCHEMA).coalesce(1).write.parquet(str(src_dir / f"f{n}"))
+    stream = (spark.readStream.schema(PRICE_SCHEMA).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(str(src_dir)))
+    q = SD.stream_daily_price(spark, stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    q.awaitTermination()
+    got = rows(rounded(SD.read_daily(spark, str(tmp_path / "out"), family="products")))
+    batch = A.daily_price(C.clean_products(spark.createDataFrame(data, PRICE_SCHEMA), ordinal="ordinal"))
+    assert got == rows(rounded(batch)) and len(got) > 0
