@@ -45,15 +45,15 @@ def texts_of(column: pa.Array) -> list[str]:
     return ["" if t is None else t for t in column.to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part has at most about SLICE_BYTES of text
+def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part has at most about ``limit`` bytes of text
     (one longer text is a part of its own)."""
     sizes = np.asarray(
         pc.binary_length(batch.column(batch.schema.names.index(text))).fill_null(0)
     ).astype(np.int64)
     start, total = 0, 0
     for i, n in enumerate(sizes.tolist()):
-        if total and total + n > SLICE_BYTES:
+        if total and total + n > limit:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += n

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, staged
-from .tokens import encoder
+from .tokens import TOKEN_SLICE_BYTES, encoder
 
 CAPACITY = 2048
 #: Open windows of a partition.
@@ -117,7 +117,7 @@ def pack_documents(
 
         types = [(c, pa.list_(pa.int32()) if c == "ids" else pa.int64()) for c in names]
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", TOKEN_SLICE_BYTES):
                 ids, sizes = tokens.encode(part.column(1))
                 ends = np.cumsum(sizes + 1)
                 whole = np.full(int(ends[-1]), end_id, "<u4")

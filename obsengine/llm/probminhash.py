@@ -9,10 +9,11 @@ weight, deals each arrival to one of the registers, and stops a shingle's
 arrivals as soon as they are later than all registers of the document.
 
 Documents with equal words collapse first.  Bands of registers give the
-candidates; a bucket's members are verified against one leader, and members
-that are not connected to it afterwards against the other members, so no link
-between two different texts of a bucket is lost, while the members of a large
-group of near copies are not paired with each other.
+candidates; a bucket's members are verified against one leader.  Buckets whose
+members aren't all connected by then are compared in full: small ones by pairs,
+larger ones by pairs of blocks, whose members are counted against each other
+inside a task that returns a spanning forest of the links.  No link that would
+join two groups is lost, and no pairs of a large group are ever rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ from .common import mix, raw_texts, slices, staged, word_hashes
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
+#: Buckets up to this size are compared by pairs, larger ones in blocks.
+SMALL = 32
+#: Members of a block; a task holds two blocks.
+BLOCK = 512
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,6 +140,63 @@ def connected(links: DataFrame) -> DataFrame:
     )
 
 
+def _weighted(keys: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    k = np.frombuffer(keys, np.uint64)
+    return k, np.frombuffer(weights, "<u4") if weights else np.ones(len(k))
+
+
+def _forest(threshold: float):
+    """Links between the members of two blocks that join different groups,
+    without those that others imply."""
+
+    def run(table: pa.Table) -> pa.Table:
+        copies, groups = table.column("copy").to_pylist(), table.column("group").to_pylist()
+        keys, weights = table.column("keys").to_pylist(), table.column("weights").to_pylist()
+        left = np.asarray(table.column("left"))
+        same_block = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        sizes = np.array([len(k) // 8 for k in keys], np.int64)
+        _, which = np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in keys]), return_inverse=True)
+        row = np.repeat(np.arange(len(keys)), sizes)
+        plain = np.array([not w for w in weights])
+        # how many shingles any two members share, some shingles at a time
+        shared = np.zeros((len(keys), len(keys)), np.float32)
+        order = np.argsort(which, kind="stable")
+        which, row = which[order], row[order]
+        for start in range(0, int(which[-1]) + 1, 4096):
+            a, b = np.searchsorted(which, (start, start + 4096))
+            part = np.zeros((len(keys), 4096), np.float32)
+            part[row[a:b], which[a:b] - start] = 1.0
+            shared += part @ part.T
+        either = sizes[:, None] + sizes[None, :] - shared
+        both_plain = plain[:, None] & plain[None, :]
+        number = {g: n for n, g in enumerate(dict.fromkeys(groups))}
+        group = np.array([number[g] for g in groups])
+        # with equal weights the similarity is exact; else it needs a shared shingle
+        maybe = np.where(both_plain, shared >= (threshold - 1e-6) * either, shared > 0)
+        maybe &= group[:, None] != group[None, :]
+        maybe &= np.triu(np.ones_like(maybe), 1) if same_block else left[:, None] & ~left[None, :]
+        parent = list(range(len(number)))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        found = []
+        for x, y in zip(*np.nonzero(maybe), strict=True):
+            gx, gy = root(group[x]), root(group[y])
+            if gx != gy and probability_jaccard(
+                *_weighted(keys[x], weights[x]), *_weighted(keys[y], weights[y])
+            ) >= threshold - 1e-12:
+                parent[gx] = gy
+                found.append((copies[x], copies[y]))
+        cols = list(zip(*found, strict=True)) or [(), ()]
+        return pa.table([pa.array(c, pa.binary()) for c in cols], names=["a", "b"])
+
+    return run
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -207,14 +269,10 @@ def near_duplicates(
 
     def verified(pairs: DataFrame) -> DataFrame:
         def check(batches):
-            def weighted(keys, weights):
-                k = np.frombuffer(keys, np.uint64)
-                return k, np.frombuffer(weights, "<u4") if weights else np.ones(len(k))
-
             for batch in batches:
                 a, ak, aw, b, bk, bw = (batch.column(i).to_pylist() for i in range(6))
                 sim = [
-                    probability_jaccard(*weighted(k, w), *weighted(x, y))
+                    probability_jaccard(*_weighted(k, w), *_weighted(x, y))
                     for k, w, x, y in zip(ak, aw, bk, bw, strict=True)
                 ]
                 yield pa.RecordBatch.from_pydict(
@@ -227,29 +285,38 @@ def near_duplicates(
         return staged(rows.mapInArrow(check, "a binary, b binary, similarity double"), "verified")
 
     linked = F.col("similarity") >= threshold - 1e-12
-    stars = members.where("copy <> leader").select(F.col("leader").alias("a"), F.col("copy").alias("b")).distinct()
-    stars = verified(stars)
-    labels = staged(connected(stars.where(linked)), "labels")
-
-    # members whose group isn't their leader's meet the bucket's other members
-    of = lambda df, node, name: df.join(
-        labels.select(F.col("node").alias(node), F.col("label").alias(name)), node, "left"
-    ).withColumn(name, F.coalesce(name, node))
-    apart = of(of(members.where("copy <> leader"), "copy", "group"), "leader", "leader_group")
-    apart = apart.where("group <> leader_group").select("bucket", "copy", "group")
-    if not apart.isEmpty():
-        distance = stars.select(F.col("a").alias("leader"), F.col("b").alias("copy"), (1 - F.col("similarity")).alias("far"))
-        here = of(members, "copy", "group").join(distance, ["leader", "copy"], "left")
-        here = here.select("bucket", "copy", "group", "far", (F.col("copy") == F.col("leader")).alias("led"))
-        rest = here.join(apart.select("bucket", "copy"), ["bucket", "copy"], "left_semi")
-        rest = rest.select("bucket", F.col("copy").alias("a"), F.col("group").alias("ga"), F.col("far").alias("fa"))
-        others = here.where("NOT led").select("bucket", F.col("copy").alias("b"), F.col("group").alias("gb"), F.col("far").alias("fb"))
-        # 1 - J_P is a distance: two members further apart than that can't be linked
-        near = F.abs(F.col("fa") - F.col("fb")) <= 1 - threshold + 1e-9
-        pairs = rest.join(others, "bucket").where((F.col("ga") != F.col("gb")) & near)
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        more = verified(pairs).where(linked)
-        labels = staged(connected(stars.where(linked).unionByName(more)), "labels")
+    pairs = members.where("copy <> leader").select(F.col("leader").alias("a"), F.col("copy").alias("b"))
+    links = verified(pairs.distinct()).where(linked).select("a", "b")
+    labels = staged(connected(links), "labels")
+
+    # buckets that still hold several groups
+    here = members.select("bucket", "copy").join(
+        labels.select(F.col("node").alias("copy"), F.col("label").alias("group")), "copy", "left"
+    )
+    here = here.withColumn("group", F.coalesce("group", "copy"))
+    groups = here.groupBy("bucket", "group").agg(F.count("*").alias("n"))
+    mixed = groups.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("top"), F.count("*").alias("groups")
+    )
+    mixed = mixed.where("groups > 1").select("bucket", "n", F.col("top.group").alias("top"))
+    here = staged(here.join(mixed, "bucket"), "mixed")
+    small, large = here.where(F.col("n") <= SMALL), here.where(F.col("n") > SMALL)
+    # small: of two members of different groups one is outside the largest group
+    rest = small.where("group <> top").select("bucket", F.col("copy").alias("a"), F.col("group").alias("ga"))
+    others = small.select("bucket", F.col("copy").alias("b"), F.col("group").alias("gb"))
+    pairs = rest.join(others, "bucket").where("ga <> gb")
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    more = verified(pairs).where(linked).select("a", "b")
+    # large: blocks of members, each pair of blocks in a task of its own
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("copy"), blocks).cast("int")
+    dealt = large.select("bucket", "copy", "group", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select(
+        "bucket", "copy", "group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        (F.col("own") <= F.col("other")).alias("left"),
+    )
+    found = dealt.join(sets, "copy").groupBy("bucket", "i", "j").applyInArrow(_forest(threshold), "a binary, b binary")
+    labels = staged(connected(links.unionByName(more).unionByName(staged(found.distinct(), "forest"))), "labels")
 
     grouped = signed.select("doc_id", "text_hash", "copy").join(
         labels.select(F.col("node").alias("copy"), "label"), "copy", "left"

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, staged
-from .tokens import encoder
+from .tokens import TOKEN_SLICE_BYTES, encoder
 
 BLOCK = 128
 #: Selector -> (ids in a word, bits of an id); 0 is a run, 15 an escape.
@@ -201,7 +201,7 @@ def write_token_ids(
         tokens = encoder(tokenizer, spaced)
         shard, chunk, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", TOKEN_SLICE_BYTES):
                 ids, sizes = tokens.encode(part.column(1))
                 ends = np.cumsum(sizes + 1)
                 whole = np.full(int(ends[-1]), end_id, np.uint32)

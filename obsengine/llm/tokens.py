@@ -17,7 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that a worker remembers before it starts afresh.
-REMEMBERED = 1_200_000
+REMEMBERED = 900_000
+#: Text that is encoded at once.
+TOKEN_SLICE_BYTES = 4 << 20
 #: Pieces are long beyond this; a megabyte of long pieces is forgotten at once.
 LONG = 64
 
