@@ -117,8 +117,8 @@ def _requests(blocks_bits: int, order: int):
         for m in range(1, order + 1):
             keys, counts = grams.counted(m, train)
             bucket = (keys >> np.uint64(64 - blocks_bits)).astype(np.int64)
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            for a, b in zip(cut, np.append(cut[1:], len(keys)), strict=True):
+            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
+            for a, b in zip(cut, cut[1:], strict=False):
                 rows.append((block, m, int(bucket[a]), _packed(np.diff(keys[a:b].astype("<u8"), prepend=np.uint64(0))), _packed(counts[a:b])))
         cols = list(zip(*rows, strict=True))
         types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -246,7 +246,8 @@ def score_texts(docs: DataFrame, order: int = ORDER, mass: float = MASS, block_b
         )
         for m in range(1, order + 1):
             total = np.zeros(grams.distinct[m] + 1, np.int64)
-            total[1:] = np.concatenate([_unpacked(r[2], "<u8") for r in rows if r[0] == m])
+            own = [_unpacked(r[2], "<u8") for r in rows if r[0] == m]
+            total[1:] = np.concatenate(own) if own else 0
             totals.append(total)
         automaton = Automaton(grams, totals, n_tokens, n_types, mass)
         scores = automaton.score()
