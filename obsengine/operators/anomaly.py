@@ -64,7 +64,9 @@ def price_anomalies(df: DataFrame, z_thresh: float = Z_THRESHOLD) -> DataFrame:
     hot = hot_keys(df.where(F.col("url").isNotNull()), ["url"])  # found once, used by both steps
     d = price_delta(df, hot=hot)
     z = zscore_by_group(d, ["url"], "delta", out="delta_z", hot=hot)
-    return z.where(F.col("delta").isNotNull() & (F.abs("delta_z") >= F.lit(float(z_thresh)))).select(
+    # NaN (infinite prices in the group) compares as the largest number: no alert
+    high = (F.abs("delta_z") >= F.lit(float(z_thresh))) & ~F.isnan("delta_z")
+    return z.where(F.col("delta").isNotNull() & high).select(
         "url", "scraped_at", "price_gbp", "price_prev", "delta", "delta_z"
     )
 
@@ -128,7 +130,8 @@ def weather_anomalies(df: DataFrame, z_thresh: float = Z_THRESHOLD, approx: bool
         F.when(F.col("city").isNotNull(), ~F.coalesce(inside, F.lit(False))).alias("precip_outlier"),
         "wind_speed_10m",
     )
-    alert = (F.abs("temp_z") >= F.lit(float(z_thresh))) | (F.col("precip_outlier") == F.lit(True))
+    high = (F.abs("temp_z") >= F.lit(float(z_thresh))) & ~F.isnan("temp_z")
+    alert = high | (F.col("precip_outlier") == F.lit(True))
     return out.where(alert)
 
 

@@ -255,6 +255,7 @@ def _quantiles_ranked(df, keys, value, probs, names, n):
             F.max(F.when(F.col("_rank") == lo, F.col(value))).alias(f"_{name}_lo"),
             F.max(F.when(F.col("_rank") == hi, F.col(value))).alias(f"_{name}_hi"),
             F.first(pos - lo).alias(f"_{name}_frac"),
+            F.first(hi - pos).alias(f"_{name}_rest"),
         ]
     hit = conds[0]
     for c in conds[1:]:
@@ -263,7 +264,11 @@ def _quantiles_ranked(df, keys, value, probs, names, n):
     return picked.select(
         *keys,
         *[
-            (F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo")) * F.col(f"_{nm}_frac")).alias(nm)
+            # the same interpolation as the percentile aggregate, so infinite values
+            # and rounding don't depend on how many rows a key has
+            F.when(F.col(f"_{nm}_lo") == F.col(f"_{nm}_hi"), F.col(f"_{nm}_lo"))
+            .otherwise(F.col(f"_{nm}_rest") * F.col(f"_{nm}_lo") + F.col(f"_{nm}_frac") * F.col(f"_{nm}_hi"))
+            .alias(nm)
             for nm in names
         ],
     )

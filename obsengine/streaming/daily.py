@@ -40,13 +40,12 @@ def _apply_batch(spark: SparkSession, batch: DataFrame, curated: str, daily: str
     rows = rows.withColumn("day", F.to_date(time_col))
     rows.write.mode("append").partitionBy("day").parquet(curated)
 
-    key = keys[0]
-    touched = rows.select(key, "day").where(F.col(key).isNotNull() & F.col("day").isNotNull()).distinct()
     # The days of one batch are bounded by its calendar span: broadcasting
     # them lets the read prune the curated table to those day partitions.
-    days = touched.select("day").distinct()
-    stored = spark.read.parquet(curated).join(F.broadcast(days), "day", "left_semi")
-    latest = keep_last(stored, keys, [time_col, "_o"]).join(touched, [key, "day"], "left_semi")
+    days = rows.select("day").where(F.col("day").isNotNull()).distinct()
+    stored = spark.read.schema(rows.schema).parquet(curated).join(F.broadcast(days), "day", "left_semi")
+    # All keys of a touched day, not only this batch's: its partition is replaced.
+    latest = keep_last(stored, keys, [time_col, "_o"])
     agg = aggregate(latest.drop("_o"))
     # Rewrites only the day partitions present in ``agg``.
     agg.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(daily)

@@ -44,6 +44,19 @@ def test_stream_daily_equals_batch(spark, tmp_path):
     assert got == rows(rounded(batch)) and len(got) > 0
 
 
+def test_stream_daily_keeps_cities_of_other_batches(spark, tmp_path):
+    data = [r for r in _readings() if r[0] is not None]
+    for n, city in enumerate(("c0", "c1", "c2")):  # the same days, one city a file and batch
+        chunk = [r for r in data if r[0] == city]
+        spark.createDataFrame(chunk, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "src" / f"f{n}"))
+    stream = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(str(tmp_path / "src")))
+    SD.stream_daily_weather(spark, stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+    got = rows(rounded(SD.read_daily(spark, str(tmp_path / "out"))))
+    batch = A.daily_weather(C.clean_weather(spark.createDataFrame(data, SCHEMA), ordinal="ordinal"))
+    assert got == rows(rounded(batch)) and {r[0] for r in got} == {"c0", "c1", "c2"}
+
+
 def test_watcher_reacts_to_changes(spark, tmp_path):
     d = tmp_path / "watched"
     d.mkdir()
