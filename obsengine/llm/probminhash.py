@@ -157,12 +157,15 @@ def _forest(threshold: float):
         sizes = np.array([len(k) // 8 for k in keys], np.int64)
         _, which = np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in keys]), return_inverse=True)
         row = np.repeat(np.arange(len(keys)), sizes)
+        # a shingle that one member alone has is shared with nobody
+        common = np.bincount(which) > 1
+        row, which = row[common[which]], (np.cumsum(common) - 1)[which[common[which]]]
         plain = np.array([not w for w in weights])
         # how many shingles any two members share, some shingles at a time
         shared = np.zeros((len(keys), len(keys)), np.float32)
         order = np.argsort(which, kind="stable")
         which, row = which[order], row[order]
-        for start in range(0, int(which[-1]) + 1, 4096):
+        for start in range(0, int(common.sum()), 4096):
             a, b = np.searchsorted(which, (start, start + 4096))
             part = np.zeros((len(keys), 4096), np.float32)
             part[row[a:b], which[a:b] - start] = 1.0
