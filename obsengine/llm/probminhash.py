@@ -157,25 +157,33 @@ def _forest(threshold: float):
         sizes = np.array([len(k) // 8 for k in keys], np.int64)
         _, which = np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in keys]), return_inverse=True)
         row = np.repeat(np.arange(len(keys)), sizes)
+        plain = np.array([not w for w in weights])
+        own = np.concatenate([_weighted(k, w)[1] for k, w in zip(keys, weights, strict=True)])
+        total = np.bincount(row, own, len(keys))
         # a shingle that one member alone has is shared with nobody
         common = np.bincount(which) > 1
-        row, which = row[common[which]], (np.cumsum(common) - 1)[which[common[which]]]
-        plain = np.array([not w for w in weights])
-        # how many shingles any two members share, some shingles at a time
-        shared = np.zeros((len(keys), len(keys)), np.float32)
+        kept = common[which]
+        row, own, which = row[kept], own[kept], (np.cumsum(common) - 1)[which[kept]]
+        # share[a, b]: the part of a's weight on shingles that b has too, some
+        # shingles at a time
+        share = np.zeros((len(keys), len(keys)), np.float32)
         order = np.argsort(which, kind="stable")
-        which, row = which[order], row[order]
+        which, row, own = which[order], row[order], own[order]
         for start in range(0, int(common.sum()), 4096):
             a, b = np.searchsorted(which, (start, start + 4096))
-            part = np.zeros((len(keys), 4096), np.float32)
-            part[row[a:b], which[a:b] - start] = 1.0
-            shared += part @ part.T
-        either = sizes[:, None] + sizes[None, :] - shared
-        both_plain = plain[:, None] & plain[None, :]
+            at = row[a:b], which[a:b] - start
+            here, part = np.zeros((2, len(keys), 4096), np.float32)
+            here[at] = 1.0
+            part[at] = own[a:b] / total[row[a:b]]
+            share += part @ here.T
+        # J_P is at most the sum of the lesser normalised weights, so at most
+        # the lesser share; with equal weights it is known but for rounding
+        shared = share * sizes[:, None]
+        plainly = shared / np.maximum(sizes[:, None] + sizes[None, :] - shared, 0.5)
+        likely = np.where(plain[:, None] & plain[None, :], plainly, np.minimum(share, share.T))
+        maybe = likely >= threshold - 1e-4
         number = {g: n for n, g in enumerate(dict.fromkeys(groups))}
         group = np.array([number[g] for g in groups])
-        # with equal weights the similarity is exact; else it needs a shared shingle
-        maybe = np.where(both_plain, shared >= (threshold - 1e-6) * either, shared > 0)
         maybe &= group[:, None] != group[None, :]
         maybe &= np.triu(np.ones_like(maybe), 1) if same_block else left[:, None] & ~left[None, :]
         parent = list(range(len(number)))
