@@ -233,6 +233,66 @@ def test_compression_band_rejects_what_the_base_rules_pass(spark):
     assert got[1].kept and not got[2].base_failed and not got[2].kept
 
 
+PROSE = (
+    "When the harbour froze in the second week of January, nobody expected the ferry to run, yet Captain Moll "
+    "lit the boiler before dawn and sent the boy for bread. Three passengers stood on the quay: a surveyor with "
+    "brass instruments, an old woman carrying seed potatoes, and somebody's cousin who wouldn't say where he was "
+    "going. Ice knocked along the hull like furniture being moved upstairs. By noon they had covered four miles, "
+    "eaten most of the bread, and argued about taxes, weather, opera and whether herons feel cold. The surveyor "
+    "measured everything twice; his notebook shows a coast that differs from every printed chart. Later historians "
+    "found the potatoes more important. They were a blight-resistant kind, unknown on the islands, and within ten "
+    "years they fed six parishes. Nothing is recorded about the cousin except that he paid in foreign silver and "
+    "left his umbrella behind. It hangs today in the customs office, next to a faded photograph of the vessel, a "
+    "list of drowned sailors, and the bell that used to warn fishermen off Gull Rock whenever fog rolled down the "
+    "valley. Visitors may ring it on Sundays. Children usually do, loudly, until the keeper emerges from behind her "
+    "newspaper and threatens, without much conviction, to fetch a constable from the mainland. "
+)
+
+
+def natural(n):
+    """``n`` bytes of prose: the sentences above, then 4,000 words in Zipf's proportion."""
+    rng = np.random.default_rng(3)
+    letters = rng.choice(list("etaoinshrdlucmfwypvbgk"), (4000, 12), p=np.arange(22, 0, -1) / 253)
+    words = np.array(["".join(w[:k]) for w, k in zip(letters, rng.integers(2, 11, 4000), strict=True)])
+    weight = 1 / (np.arange(4000) + 5)
+    return (PROSE + " ".join(rng.choice(words, n // 4, p=weight / weight.sum())))[:n]
+
+
+def noise(alphabet, n, width=16):
+    rng = np.random.default_rng(4)
+    letters = "".join(rng.choice(list(alphabet), n))
+    return " ".join(letters[i : i + width] for i in range(0, n, width))[:n]
+
+
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def verdicts(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    return [r for r in compression.quality_digest(docs).orderBy("doc_id").collect()]
+
+
+def test_compression_bands_reject_noise_and_keep_prose(spark):
+    junk = [noise(BASE64, n) for n in (1000, 1500, 2040, 3000, 4096, 6000, 20000, 50000)]
+    junk += [noise(BASE64[26:52], n) for n in (1800, 2500, 4096, 6000, 20000, 50000)]
+    junk += [noise("0123456789abcdef", n) for n in (5200, 6000, 20000, 50000)]
+    junk += [noise([chr(c) for c in range(33, 127)], n) for n in (1000, 2040, 6000)]
+    for r, t in zip(verdicts(spark, junk), junk, strict=True):
+        assert not r.base_failed and not r.kept, (len(t), r.ratio, t[:20])
+    prose = [PROSE[:n] for n in (350, 450, 600, 800, 1024, len(PROSE))]
+    prose += [natural(n) for n in (1800, 2500, 3500, 4500, 6000, 10000, 40000)]
+    for r, t in zip(verdicts(spark, prose), prose, strict=True):
+        assert not r.base_failed and r.kept, (len(t), r.ratio)
+
+
+def test_wide_text_has_its_own_lower_limit(spark):
+    rng = np.random.default_rng(5)
+    weight = 1 / (np.arange(2500) + 10)
+    signs = "".join(chr(0x4E00 + 7 * k) for k in rng.choice(2500, 1300, p=weight / weight.sum()))
+    (r,) = verdicts(spark, [" ".join(signs[i : i + 9] for i in range(0, 1300, 9))])
+    assert r.ratio < 1.78 and not r.base_failed and r.kept, r.ratio
+
+
 def test_token_counts_match_the_exact_tokenizer(docs, none):
     path = queries.tokenizer_file(queries.PIECES)
     exact = viterbi.exact_tokenizer(viterbi.vocabulary(path))
