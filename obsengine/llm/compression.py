@@ -1,8 +1,8 @@
 """Quality rules with compression bands (operator 6).
 
 Base rules count words, symbols, repeated lines and repeated word windows.
-The method's verdict compresses the whole document and its fixed chunks with
-zstandard: natural text has a ratio inside a band that depends on the length.
+The method's verdict compresses the whole document and the chunks that cover
+it with zstandard: natural text has a ratio inside a band that depends on the length.
 Above the band a text is repetitive, below it is incompressible.
 """
 
@@ -30,8 +30,11 @@ class Bands:
     """Limits of the ratio (bytes over compressed bytes) by length in bytes:
     (least length, lowest ratio, lowest ratio of wide text, highest ratio),
     ascending.  Chunks of ``chunk_bytes`` have their own limits in the same
-    order; a document is rejected if more than ``chunk_share`` of its full
-    chunks lie outside them.
+    order; a document is rejected if more than ``chunk_share`` of its bytes
+    are in chunks outside their limits.  The chunks cover the whole text: what
+    is left behind the full ones is a chunk with the limits of its length, or,
+    below ``least_rest`` bytes, is judged by a full chunk that ends with the
+    text.  A text shorter than a chunk is one chunk.
 
     The lowest ratio lies between what random words reach at the band's upper
     end and what prose (licences, manuals and messages in 13 languages) has at
@@ -62,6 +65,7 @@ class Bands:
     chunk_bytes: int = 4096
     chunk_limits: tuple = (1.78, 1.2, 4.0)
     chunk_share: float = 0.25
+    least_rest: int = 1024
     wide_share: float = 0.25
 
 
@@ -140,6 +144,24 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands(), text: str = "text") -
                 low = wide_low
             return low <= r <= high
 
+        def limits_at(n: int) -> tuple:
+            return bands.by_length[int(np.searchsorted(least, n, side="right")) - 1][1:]
+
+        def chunks_of(raw: bytes, whole: float) -> tuple[int, int, int]:
+            """Number of chunks, of bad ones, and bytes in bad ones."""
+            n, size = len(raw), bands.chunk_bytes
+            if n < size:
+                bad = n > 0 and not inside(raw, whole, limits_at(n))
+                return int(n > 0), int(bad), n * bad
+            spans = [(i, i + size, size, bands.chunk_limits) for i in range(0, n - size + 1, size)]
+            rest = n % size
+            if rest >= bands.least_rest:
+                spans.append((n - rest, n, rest, limits_at(rest)))
+            elif rest:
+                spans.append((n - size, n, rest, bands.chunk_limits))
+            bad = [own for i, j, own, limits in spans if not inside(raw[i:j], ratio(raw[i:j]), limits)]
+            return len(spans), len(bad), sum(bad)
+
         def work(part):
             texts = texts_of(part.column(part.schema.names.index(text)))
             names: defaultdict[bytes, int] = defaultdict()
@@ -152,14 +174,11 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands(), text: str = "text") -
                 n_words.append(len(own))
                 lines = [x for x in raw.split(b"\n") if x.strip()]
                 whole = ratio(raw)
-                size = bands.chunk_bytes
-                chunks = [raw[i : i + size] for i in range(0, len(raw) - size + 1, size)]
-                bad = sum(not inside(c, ratio(c), bands.chunk_limits) for c in chunks)
-                limits = bands.by_length[int(np.searchsorted(least, len(raw), side="right")) - 1][1:]
-                natural = inside(raw, whole, limits) and bad <= bands.chunk_share * len(chunks)
+                n_chunks, bad, bad_bytes = chunks_of(raw, whole)
+                natural = inside(raw, whole, limits_at(len(raw))) and bad_bytes <= bands.chunk_share * len(raw)
                 rows.append(
                     (len(raw.translate(None, no_char)), len(raw) - len(raw.translate(None, symbols_of)),
-                     len(lines) - len(set(lines)), whole, len(chunks), bad, natural)
+                     len(lines) - len(set(lines)), whole, n_chunks, bad, natural)
                 )
             n = np.array(n_words, np.int64)
             doc = np.repeat(np.arange(len(texts)), n)

@@ -293,6 +293,17 @@ def test_wide_text_has_its_own_lower_limit(spark):
     assert r.ratio < 1.78 and not r.base_failed and r.kept, r.ratio
 
 
+def test_chunks_cover_the_whole_text(spark):
+    advert = "Buy the best kettle in town at half the price today only! " * 100
+    base = natural(8192)
+    texts = [base + advert[:4095], base[:4096] + advert[:2000], base + advert[:1024], base + natural(900), base[:3000], ""]
+    got = verdicts(spark, texts)
+    assert [r.n_chunks for r in got] == [3, 2, 3, 3, 1, 0]
+    assert [r.n_bad_chunks for r in got] == [1, 1, 1, 0, 0, 0]
+    assert [r.kept for r in got] == [False, False, True, True, True, False]
+    assert not any(r.base_failed for r in got[:5])
+
+
 def test_token_counts_match_the_exact_tokenizer(docs, none):
     path = queries.tokenizer_file(queries.PIECES)
     exact = viterbi.exact_tokenizer(viterbi.vocabulary(path))
