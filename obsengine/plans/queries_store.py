@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 import uuid
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from . import serving as SV
 from . import standins as SI
 from . import tables as TB
 from .queries_core import P_SQL, W_SQL, with_
-from .registry import query, rounded
+from .registry import ORACLE, query, rounded
 
 # ---------------------------------------------------------------- SQL twins
 
@@ -250,9 +251,9 @@ LITERAL_ROWS = [
   FROM lit WHERE url NOT IN (SELECT url FROM dp))
 SELECT {DIM_OUT} FROM ul""",
 )
-def q_upsert_literal(spark, sf):
+def q_upsert_literal(spark, sf, whole=False):
     batch = spark.createDataFrame(LITERAL_ROWS, "url string, product_name string, source string")
-    return rounded(U.upsert_dim_product(SI.dim_product(spark, sf), batch, SI.AS_OF))
+    return rounded(U.upsert_dim_product(SI.dim_product(spark, sf, whole), batch, SI.AS_OF))
 
 
 @query(
@@ -265,8 +266,8 @@ SELECT product_id, url,
        CASE WHEN source = 'Brand#13' THEN TIMESTAMP '2024-06-01 00:00:00' ELSE last_seen_at END AS last_seen_at
 FROM dp""",
 )
-def q_update_where(spark, sf):
-    dim = SI.dim_product(spark, sf)
+def q_update_where(spark, sf, whole=False):
+    dim = SI.dim_product(spark, sf, whole)
     out = U.update_where(
         dim,
         F.col("source") == "Brand#13",
@@ -284,8 +285,8 @@ WHERE NOT EXISTS (SELECT 1 FROM nation c
                   WHERE fw.city_id = c.n_nationkey AND c.n_name = 'NATION_3'
                     AND CAST(fw.time_at AS DATE) = DATE '2024-01-17' - INTERVAL 7 DAY)""",
 )
-def q_delete_using(spark, sf):
-    fw = SI.fact_weather(spark, sf)
+def q_delete_using(spark, sf, whole=False):
+    fw = SI.fact_weather(spark, sf, whole)
     city = AD.table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("city_id"), F.col("n_name").alias("city_name")
     )
@@ -305,9 +306,9 @@ SELECT dp.product_id, prb.url, prb.scraped_at, round(prb.price_gbp, 6) AS price_
        prb.l_linenumber, prb.l_suppkey
 FROM prb JOIN dp ON prb.url = dp.url""",
 )
-def q_key_lookup(spark, sf):
-    b = SI.price_batch(spark, sf).select("url", "scraped_at", "price_gbp", "l_orderkey", "l_linenumber", "l_suppkey")
-    return rounded(U.lookup_key(b, SI.dim_product(spark, sf), "url", "product_id"))
+def q_key_lookup(spark, sf, whole=False):
+    b = SI.price_batch(spark, sf, whole).select("url", "scraped_at", "price_gbp", "l_orderkey", "l_linenumber", "l_suppkey")
+    return rounded(U.lookup_key(b, SI.dim_product(spark, sf, whole), "url", "product_id"))
 
 
 @query(
@@ -315,9 +316,9 @@ def q_key_lookup(spark, sf):
     with_(DIM_PRODUCT_SQL, PRODUCT_BATCH_SQL)
     + f"SELECT {DIM_OUT} FROM dp WHERE url IN (SELECT url FROM pb)",
 )
-def q_semi_filter(spark, sf):
-    members = SI.product_batch(spark, sf).select("url")
-    return rounded(U.semi_filter(SI.dim_product(spark, sf), members, "url"))
+def q_semi_filter(spark, sf, whole=False):
+    members = SI.product_batch(spark, sf, whole).select("url")
+    return rounded(U.semi_filter(SI.dim_product(spark, sf, whole), members, "url"))
 
 
 @query(
@@ -364,8 +365,8 @@ SELECT url, scraped_at, l_orderkey, l_linenumber, l_suppkey, round(CAST(price_gb
        rating_1to5
 FROM prc""",
 )
-def q_fact_conform(spark, sf):
-    c = U.conform_price_rows(SI.price_batch(spark, sf))
+def q_fact_conform(spark, sf, whole=False):
+    c = U.conform_price_rows(SI.price_batch(spark, sf, whole))
     return rounded(c.select("url", "scraped_at", "l_orderkey", "l_linenumber", "l_suppkey", "price_gbp", "rating_1to5"))
 
 
@@ -394,15 +395,15 @@ SELECT 'price_batch' AS table_name, rule, CAST(violations AS BIGINT) AS violatio
               SELECT count(*) AS n FROM raw GROUP BY url, scraped_at)
   UNION ALL SELECT 'foreign_key(url)', count(*) FILTER (WHERE known IS NULL) FROM raw)""",
 )
-def q_constraint_report(spark, sf):
-    b = SI.price_batch(spark, sf)
+def q_constraint_report(spark, sf, whole=False):
+    b = SI.price_batch(spark, sf, whole)
     rules = [
         Q.not_null("url"),
         Q.in_range("price_gbp", lo=0),
         Q.in_range("rating_1to5", 1, 5),
         Q.fits_decimal("price_gbp", 7, 2),
         Q.unique("url", "scraped_at"),
-        Q.foreign_key(["url"], SI.dim_product(spark, sf)),
+        Q.foreign_key(["url"], SI.dim_product(spark, sf, whole)),
     ]
     return Q.constraint_report(b, rules, table="price_batch")
 
@@ -515,8 +516,8 @@ FROM fw JOIN nation ON fw.city_id = n_nationkey
 WHERE CAST(time_at AS DATE) = DATE '2024-01-10'
 GROUP BY n_name, date_trunc('hour', time_at)""",
 )
-def q_hourly_city_avg(spark, sf):
-    fw = SI.fact_weather(spark, sf)
+def q_hourly_city_avg(spark, sf, whole=False):
+    fw = SI.fact_weather(spark, sf, whole)
     city = AD.table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("city_id"), F.col("n_name").alias("city_name")
     )
@@ -599,3 +600,33 @@ def q_documents_weather(spark, sf):
     b = w.where(F.col("time") >= F.lit("2024-01-10").cast("timestamp_ntz"))
     docs = D.weather_documents_from(a, ["ordinal"])
     return rounded(D.upsert_weather_docs(docs, b, order=["time", "ordinal"]).drop("ordinal"))
+
+
+# ---------------------------------------------------------- whole tables
+
+# The operators above that need no split of existing and new rows, over all rows.
+CUTS = (
+    " WHERE p_size <= 30",
+    " WHERE p_size >= 20",
+    " WHERE l_shipdate >= TIMESTAMP '1998-01-01'",
+    " WHERE ts < TIMESTAMP '2024-01-20'",
+)
+
+
+def uncut(sql: str) -> str:
+    for cut in CUTS:
+        sql = sql.replace(cut, "")
+    return sql
+
+
+for _name, _fn in (
+    ("fact_conform", q_fact_conform),
+    ("key_lookup", q_key_lookup),
+    ("constraint_report", q_constraint_report),
+    ("update_where", q_update_where),
+    ("semi_filter", q_semi_filter),
+    ("upsert_literal", q_upsert_literal),
+    ("hourly_city_avg", q_hourly_city_avg),
+    ("delete_using", q_delete_using),
+):
+    query(f"{_name}_whole", uncut(ORACLE[_name]))(partial(_fn, whole=True))

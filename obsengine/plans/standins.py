@@ -3,7 +3,8 @@
 dim_product <- part, fact_price <- lineitem (l_partkey, l_shipdate),
 dim_city <- nation (+ region), fact_weather_hourly <- events through
 customer's nation.  Existing vs new keys are split by attributes
-(part size, region, dates), so every batch has updates and inserts.
+(part size, region, dates), so every batch has updates and inserts; with
+``whole`` a stand-in has all rows of its tables instead.
 The SQL twins live next to the queries in ``queries_store``.
 """
 
@@ -39,27 +40,28 @@ def product_url(col: str):
     return F.concat(F.lit(URL_BASE), F.col(col).cast("string"))
 
 
-def dim_product(spark, sf) -> DataFrame:
+def dim_product(spark, sf, whole: bool = False) -> DataFrame:
     """Existing products: parts of size <= 30."""
-    return (
-        table(spark, sf, "part")
-        .where(F.col("p_size") <= 30)
-        .select(
-            F.col("p_partkey").alias("product_id"),
-            product_url("p_partkey").alias("url"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_brand").alias("source"),
-            ts(T0).alias("first_seen_at"),
-            ts(T0).alias("last_seen_at"),
-        )
+    part = table(spark, sf, "part")
+    if not whole:
+        part = part.where(F.col("p_size") <= 30)
+    return part.select(
+        F.col("p_partkey").alias("product_id"),
+        product_url("p_partkey").alias("url"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_brand").alias("source"),
+        ts(T0).alias("first_seen_at"),
+        ts(T0).alias("last_seen_at"),
     )
 
 
-def product_batch(spark, sf) -> DataFrame:
+def product_batch(spark, sf, whole: bool = False) -> DataFrame:
     """A products load: one row per line item of parts of size >= 20 (many
     rows per url; the last in line-item order wins)."""
     li = table(spark, sf, "lineitem")
-    part = table(spark, sf, "part").where(F.col("p_size") >= 20)
+    part = table(spark, sf, "part")
+    if not whole:
+        part = part.where(F.col("p_size") >= 20)
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return j.select(
         product_url("l_partkey").alias("url"),
@@ -85,10 +87,12 @@ def fact_price(spark, sf) -> DataFrame:
     return keep_last(rows, ["product_id", "scraped_at"], LINEITEM_ORDER).drop(*LINEITEM_ORDER)
 
 
-def price_batch(spark, sf) -> DataFrame:
+def price_batch(spark, sf, whole: bool = False) -> DataFrame:
     """A prices load: line items shipped from 1998 on, by url; returned
     items carry a negative price, line numbers 6 and 7 an invalid rating."""
-    li = table(spark, sf, "lineitem").where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    li = table(spark, sf, "lineitem")
+    if not whole:
+        li = li.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     return li.select(
         product_url("l_partkey").alias("url"),
         F.col("l_shipdate").cast("timestamp").alias("scraped_at"),
@@ -160,9 +164,11 @@ def _weather_decimals(df: DataFrame) -> DataFrame:
     )
 
 
-def fact_weather(spark, sf) -> DataFrame:
+def fact_weather(spark, sf, whole: bool = False) -> DataFrame:
     """Existing hourly facts: events before Jan 20, temperature = value-60."""
-    w = weather_rows(spark, sf, 60.0).where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    w = weather_rows(spark, sf, 60.0)
+    if not whole:
+        w = w.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     return keep_last(_weather_decimals(w), ["city_id", "time_at"], ["event_id"]).drop("event_id")
 
 
