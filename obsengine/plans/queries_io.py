@@ -68,13 +68,26 @@ SELECT source || 'page-1.html' AS start_url, CAST(pos // 20 AS INTEGER) AS hop,
        TIMESTAMP '2024-06-01 00:00:00' AS scraped_at
 FROM r WHERE pos < 60""",
 )
-def q_category_crawl(spark, sf):
+def q_category_crawl(spark, sf, max_pages=PG.MAX_PAGES):
     # Fetched pages live in a table: store the built listing pages first.
     path = _scratch(spark, "listing-pages")
     _listing(spark, sf).write.parquet(path)
     pages = spark.read.parquet(path)
     starts = pages.where(F.col("url").endswith("/page-1.html")).select(F.col("url").alias("start_url"))
-    return rounded(PG.category_cards(pages, starts, as_of=AS_OF))
+    return rounded(PG.category_cards(pages, starts, max_pages, as_of=AS_OF))
+
+
+@query(
+    "category_crawl_whole",
+    "WITH" + CARD_TRUTH_SQL + """
+, r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS pos FROM ct)
+SELECT source || 'page-1.html' AS start_url, CAST(pos // 20 AS INTEGER) AS hop, source, product_name,
+       round(price_gbp, 6) AS price_gbp, availability, rating_1to5, url,
+       TIMESTAMP '2024-06-01 00:00:00' AS scraped_at
+FROM r""",
+)
+def q_category_crawl_whole(spark, sf):
+    return q_category_crawl(spark, sf, max_pages=None)
 
 
 @query(

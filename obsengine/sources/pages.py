@@ -68,15 +68,39 @@ def page_links(pages: DataFrame) -> DataFrame:
 MAX_PAGES = 3
 
 
-def crawl(pages: DataFrame, starts: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+def reach(links: DataFrame, starts: DataFrame) -> DataFrame:
+    """(start_url, url, hop) of all urls that lead on from each start, each
+    with its least number of hops.
+
+    A round doubles the hops: urls within n hops, and those that n more hops
+    lead to.  It ends with the first round that finds no new url, so a chain
+    of n pages takes about log2(n) rounds and a circle of links ends too.
+    """
+    jump = links.select("_from", "_to").distinct().checkpoint(eager=True)
+    found = starts.select("start_url", F.col("start_url").alias("url"), F.lit(0).alias("hop")).distinct()
+    found, n, hops = found.checkpoint(eager=True), -1, 1
+    while n != (n := found.count()):
+        step = found.join(jump, found.url == jump._from).select(
+            "start_url", F.col("_to").alias("url"), (F.col("hop") + F.lit(hops)).alias("hop")
+        )
+        found = found.unionByName(step).groupBy("start_url", "url").agg(F.min("hop").alias("hop"))
+        found = found.checkpoint(eager=True)
+        far = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_far"))
+        jump = jump.join(far, jump._to == far._mid).select("_from", F.col("_far").alias("_to")).distinct()
+        jump, hops = jump.checkpoint(eager=True), 2 * hops
+    return found
+
+
+def crawl(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGES) -> DataFrame:
     """The pages a category crawl visits, over a table of fetched pages.
 
     From each ``start_url`` (column of ``starts``) the crawl follows the
     resolved next-page link until there is none or ``max_pages`` pages have
-    been visited; like the reference it keeps no visited set.  Returns
-    (start_url, hop, page_id, url, html).  The walk only joins the narrow
-    (url -> next url) table, ``max_pages`` times; the html is joined once at
-    the end.
+    been visited; like the reference it keeps no visited set.  Without
+    ``max_pages`` it goes on until no new page is reached, and visits each
+    page once.  Returns (start_url, hop, page_id, url, html).  The walk only
+    joins the narrow (url -> next url) table, ``max_pages`` times; the html
+    is joined once at the end.
     """
     # One regex pass over the html; the narrow link table (a row per page)
     # is kept as a reliable checkpoint so every hop reads it, not the pages.
@@ -87,6 +111,9 @@ def crawl(pages: DataFrame, starts: DataFrame, max_pages: int = MAX_PAGES) -> Da
         .select(F.col("url").alias("_from"), F.col("next_url").alias("_to"))
         .checkpoint(eager=True)
     )
+    if max_pages is None:
+        visits = reach(links, starts)
+        return visits.join(pages, "url").select("start_url", "hop", "page_id", "url", "html")
     step = starts.select("start_url", F.col("start_url").alias("url"), F.lit(0).alias("hop"))
     walked = [step]
     for hop in range(1, max_pages):
@@ -102,7 +129,7 @@ def crawl(pages: DataFrame, starts: DataFrame, max_pages: int = MAX_PAGES) -> Da
     return visits.join(pages, "url").select("start_url", "hop", "page_id", "url", "html")
 
 
-def category_cards(pages: DataFrame, starts: DataFrame, max_pages: int = MAX_PAGES, lenient: bool = False,
+def category_cards(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGES, lenient: bool = False,
                    as_of=None) -> DataFrame:
     """Product cards of every page a category crawl visits, tagged with the
     crawl's start url and the hop at which the page was reached."""

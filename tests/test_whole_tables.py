@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from obsengine.plans import standins as SI
+from obsengine.sources import pages as PG
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -36,3 +37,22 @@ def test_whole_queries_lose_no_row(spark):
     gone = SI.fact_weather(spark, SF, whole=True).where((F.col("city_id") == 3) & (day == F.lit("2024-01-10").cast("date")))
     left = q["delete_using_whole"](spark, SF).count()
     assert left + gone.count() == SI.fact_weather(spark, SF, whole=True).count()
+
+
+def test_crawl_to_the_end(spark):
+    link = '<li class="next"><a href="{}">next</a></li>'
+    page = lambda site, i, to: (f"{site}{i}", f"https://x.example/{site}/{i}.html", link.format(f"{to}.html") if to else "")
+    rows = [page("a", i, i + 1 if i < 37 else None) for i in range(1, 38)]
+    rows += [page("b", i, i % 5 + 1) for i in range(1, 6)]  # a circle
+    rows += [page("c", 1, None)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    starts = pages.where("url LIKE '%/1.html'").select(F.col("url").alias("start_url"))
+    got = sorted((r.page_id, r.hop) for r in PG.crawl(pages, starts, max_pages=None).collect())
+    assert got == sorted([(f"a{i}", i - 1) for i in range(1, 38)] + [(f"b{i}", i - 1) for i in range(1, 6)] + [("c1", 0)])
+    short = PG.crawl(pages, starts)
+    assert short.count() == 3 + 3 + 1
+
+
+def test_category_crawl_whole_loses_no_card(spark):
+    part = spark.read.parquet(f"{SF}/part.parquet").count()
+    assert E.queries()["category_crawl_whole"](spark, SF).count() == part
