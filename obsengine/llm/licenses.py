@@ -31,6 +31,8 @@ SAMPLE_PARAGRAPHS, VARIANTS = 1500, 150
 SEGMENT = 48
 LEAST_PROBABILITY = 0.5
 LEAST_SIMILARITY = 0.6
+#: Families from this probability on are held against their whole templates.
+OTHER_PROBABILITY = 0.1
 
 # Public licence notices by family.
 TEMPLATES = {
@@ -164,6 +166,22 @@ class Model:
                 best = max(best, shared / min(len(own), len(template)))
         return best
 
+    def closest(self, family: int, words: list[bytes]) -> tuple[float, frozenset]:
+        """The template of a family of which most is in the words, and its share."""
+        own = frozenset(zip(words, words[1:], strict=False))
+        return max(((len(own & t) / len(t), t) for t in self.templates[family]), key=lambda x: x[0])
+
+    def rest(self, family: int, words: list[bytes]) -> list[tuple[int, int]]:
+        """[begin, end) of the words before and behind the place where the
+        closest template of the family is."""
+        template = self.closest(family, words)[1]
+        own = np.array([p in template for p in zip(words, words[1:], strict=False)], np.int64)
+        width = min(len(template), len(own))
+        total = np.concatenate([[0], np.cumsum(own)])
+        at = int((total[width:] - total[: len(total) - width]).argmax())
+        hit = at + np.flatnonzero(own[at : at + width])
+        return [(0, int(hit[0])), (int(hit[-1]) + 2, len(words))] if len(hit) else []
+
 
 def segments(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(paragraph, begin, end) of the segments of paragraphs of so many words."""
@@ -285,24 +303,61 @@ def scan_texts(model: Model, texts: list[bytes]) -> tuple[list[int], list[list[d
     own_ids = ids[np.arange(int(length.sum())) + np.repeat(begin - first, length)]
     p = model.probabilities(model.logits(own_ids, first, first + length))
     best = p.argmax(axis=1)
-    for s in np.flatnonzero((best > 0) & (p.max(axis=1) >= LEAST_PROBABILITY)):
-        k, at = int(best[s]), int(paragraph[s])
-        similarity = model.similarity(k, words[begin[s] : end[s]])
+    last: dict[tuple, list[int]] = {}  # of a document, line and family: place in hits, first word
+
+    def found(at: int, k: int, first_word: int, probability: float, similarity: float) -> None:
         hit = {
             "family": model.families[k],
             "line": line_of[at],
-            "first_word": int(begin[s] - starts[at]),
-            "probability": float(p[s, k]),
+            "first_word": first_word,
+            "probability": probability,
             "similarity": similarity,
             "confirmed": similarity >= LEAST_SIMILARITY,
         }
         # overlapping segments of a paragraph count once, by the most similar
-        own = hits[doc_of[at]]
-        if own and own[-1]["line"] == hit["line"] and own[-1]["family"] == hit["family"]:
-            own[-1] = max(own[-1], hit, key=lambda h: (h["similarity"], h["probability"]))
+        own, key = hits[doc_of[at]], (at, k)
+        if key in last and abs(first_word - last[key][1]) < SEGMENT:
+            i = last[key][0]
+            own[i] = max(own[i], hit, key=lambda h: (h["similarity"], h["probability"]))
+            last[key][1] = max(last[key][1], first_word)
         else:
+            last[key] = [len(own), first_word]
             own.append(hit)
-    return n_paragraphs, hits
+
+    def others(at: int, k: int, start: int, own: list[bytes]) -> None:
+        """Whole templates of other families around the place of family k."""
+        for i, j in model.rest(k, own):
+            if j - i < 3:
+                continue
+            part = own[i:j]
+            q = model.probabilities(
+                model.logits(np.array(model.numbered(part), np.int64), np.array([0]), np.array([j - i]))
+            )[0]
+            for other in np.flatnonzero(q >= OTHER_PROBABILITY).tolist():
+                share = model.closest(other, part)[0] if other and other != k else 0.0
+                if share >= LEAST_SIMILARITY:
+                    found(at, other, start + i, float(q[other]), share)
+                    others(at, other, start + i, part)
+                    break
+
+    for s in np.flatnonzero((p[:, 1:] >= OTHER_PROBABILITY).any(axis=1)):
+        at, own = int(paragraph[s]), words[begin[s] : end[s]]
+        start, k = int(begin[s] - starts[at]), int(best[s])
+        sure = False
+        if k and p[s, k] >= LEAST_PROBABILITY:
+            similarity = model.similarity(k, own)
+            found(at, k, start, float(p[s, k]), similarity)
+            sure = similarity >= LEAST_SIMILARITY
+        if not sure:  # several families may share the probability
+            for k in sorted((np.flatnonzero(p[s, 1:] >= OTHER_PROBABILITY) + 1).tolist(), key=lambda k: -p[s, k]):
+                share = model.closest(k, own)[0]
+                if share >= LEAST_SIMILARITY:
+                    found(at, k, start, float(p[s, k]), share)
+                    sure = True
+                    break
+        if sure:
+            others(at, k, start, own)
+    return n_paragraphs, [sorted(h, key=lambda x: (x["line"], x["first_word"])) for h in hits]
 
 
 def fit_on(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Model:

@@ -172,6 +172,24 @@ def test_license_classifier_on_held_out_variants():
     assert not any(h["confirmed"] for d in licenses.DECOYS for h in licenses.scan_texts(model, [d.encode()])[1][0])
 
 
+def test_license_hits_far_apart_and_side_by_side():
+    model = licenses.train(["the river ran down to the sea", "some words of ordinary prose here"] * 50)
+    scan = lambda t: [h for h in licenses.scan_texts(model, [t.encode()])[1][0] if h["confirmed"]]
+    notice = {f: ts[0] for f, ts in licenses.TEMPLATES.items()}
+    far = scan(notice["GPL"] + " river sea" * 5000 + " " + notice["GPL"] + " river sea" * 50)
+    assert [h["family"] for h in far] == ["GPL", "GPL"] and far[1]["first_word"] - far[0]["first_word"] > 9000
+    long = scan("river sea " * 12 + licenses.TEMPLATES["GPL"][1] + " river sea" * 40)
+    assert [h["family"] for h in long] == ["GPL"]
+    pairs = [("MIT", "Apache-2.0"), ("GPL", "MIT"), ("BSD", "Apache-2.0"), ("Apache-2.0", "MIT"), ("MPL-2.0", "GPL")]
+    for a, b in pairs:
+        assert {h["family"] for h in scan(notice[a] + " " + notice[b])} == {a, b}, (a, b)
+    for family, templates in licenses.TEMPLATES.items():
+        for t in templates:
+            assert {h["family"] for h in scan(t)} <= {family}, t
+    lgpl = licenses.TEMPLATES["LGPL"][1] + ", either version 2.1 of the License, or (at your option) any later version."
+    assert {h["family"] for h in scan(lgpl)} == {"LGPL"}
+
+
 def test_decontamination(spark, docs, none):
     items = [(1, " ".join(f"WORD{i}" for i in range(20, 35))), (2, "lazy... dog"), (3, None), (4, "!!"), (None, "it's"), (5, "no such words")]
     bench = spark.createDataFrame(items, "item_id long, text string")
