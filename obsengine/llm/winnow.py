@@ -1,10 +1,11 @@
-"""Line deduplication by winnowing over line hashes (operator 9, native).
+"""Line deduplication by windows of line hashes (operator 9, native).
 
 The lines of a text that have words are a sequence of hashes.  A window is the
 shortest run of consecutive lines with at least ``min_words`` words that
 begins (or ends) at a line; its smallest line hash is its fingerprint.  Any
 run of that many words which two places share holds whole windows, equal in
-both and with equal fingerprints, so none is missed.  Places are joined by
+both and with equal fingerprints, so none is missed.  Every window is kept:
+the fingerprint selects none, so this is shingling and not winnowing.  Places are joined by
 fingerprint and window content to the first one, the windows that begin and
 those that end at a line extend a match to both of its sides, and every place
 but the first is deleted.
