@@ -11,7 +11,6 @@ most word pairs with a template of the predicted family.
 from __future__ import annotations
 
 import random
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,10 +24,12 @@ from .common import raw_texts, with_struct
 UNKNOWN = "unknown"
 #: Documents of the corpus that the classifier may see as ordinary text.
 SAMPLE_DOCS = 300
-#: Paragraphs of them, and variants of each family's templates.
+#: Segments of their paragraphs, and variants of each family's templates.
 SAMPLE_PARAGRAPHS, VARIANTS = 1500, 150
 #: Longer paragraphs are read in overlapping segments of so many words.
 SEGMENT = 48
+#: Paragraphs that name a licence are no ordinary text.
+NAMED = r"licen[cs]e|copyright|rights reserved"
 LEAST_PROBABILITY = 0.5
 LEAST_SIMILARITY = 0.6
 #: Families from this probability on are held against their whole templates.
@@ -361,13 +362,21 @@ def scan_texts(model: Model, texts: list[bytes]) -> tuple[list[int], list[list[d
 
 
 def fit_on(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Model:
-    """Train against a bounded sample: paragraphs of the SAMPLE_DOCS documents
-    with the smallest key hash, without those that name a licence."""
-    sample = docs.select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.left(F.col(text), F.lit(20000)).alias("t"))
-    rows = sample.where("t IS NOT NULL").orderBy("h", "t").limit(SAMPLE_DOCS).collect()
-    named = re.compile(r"licen[cs]e|copyright|rights reserved", re.IGNORECASE)
-    ordinary = [p for r in rows for p in r["t"].split("\n") if p.strip() and not named.search(p)]
-    return train(ordinary[:SAMPLE_PARAGRAPHS])
+    """Train against a bounded sample: of the SAMPLE_DOCS documents with the
+    smallest key hash, the SAMPLE_PARAGRAPHS segments of SEGMENT words with the
+    smallest hash, without paragraphs that name a licence.  The ids are chosen
+    first; the segments come from the whole texts of the chosen documents,
+    however long, and at most SAMPLE_PARAGRAPHS of them reach the driver."""
+    hashed = docs.select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("t")).where("t IS NOT NULL")
+    chosen = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).collect()]
+    line = F.explode(F.split("t", "\n")).alias("line")
+    lines = hashed.where(F.col("h").isin(chosen)).select("h", line)
+    words = F.filter(F.split("line", r"\s+"), lambda w: w != "")
+    lines = lines.where(~F.lower("line").rlike(NAMED)).select("h", words.alias("w")).where(F.size("w") > 0)
+    begins = F.explode(F.sequence(F.lit(0), F.size("w") - 1, F.lit(SEGMENT))).alias("i")
+    parts = lines.select("h", "w", begins).select("h", F.array_join(F.slice("w", F.col("i") + 1, SEGMENT), " ").alias("p"))
+    rows = parts.distinct().orderBy(F.xxhash64("h", "p"), "p").limit(SAMPLE_PARAGRAPHS).collect()
+    return train([r["p"] for r in rows])
 
 
 def scan_licenses(docs: DataFrame, model: Model | None = None, text: str = "text") -> tuple[DataFrame, str]:

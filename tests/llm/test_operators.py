@@ -190,6 +190,17 @@ def test_license_hits_far_apart_and_side_by_side():
     assert {h["family"] for h in scan(lgpl)} == {"LGPL"}
 
 
+def test_license_sample_reads_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(licenses, "train", lambda ordinary: seen.extend(ordinary))
+    long = "front " * 5000 + "\n" + "word " * 60 + "tail of the text"
+    rows = [(1, long), (2, "a copyright line\nplain line"), (3, None), (4, "")]
+    licenses.fit_on(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert any("tail of the text" in p for p in seen) and "plain line" in seen
+    assert max(len(p.split()) for p in seen) <= licenses.SEGMENT
+    assert not any("copyright" in p for p in seen)
+
+
 def test_decontamination(spark, docs, none):
     items = [(1, " ".join(f"WORD{i}" for i in range(20, 35))), (2, "lazy... dog"), (3, None), (4, "!!"), (None, "it's"), (5, "no such words")]
     bench = spark.createDataFrame(items, "item_id long, text string")
