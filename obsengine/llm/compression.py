@@ -37,9 +37,9 @@ class Bands:
     text.  A text shorter than a chunk is one chunk.
 
     The lowest ratio lies between what random words reach at the band's upper
-    end and what prose (licences, manuals and messages in 13 languages) has at
-    its lower end.  Random base64 separates from prose from 128 bytes on,
-    random letters from 1,792 and random hex digits from 5,120; below those
+    end and what prose (licences, manuals and messages in 11 languages) has at
+    its lower end; prose was measured from 256 bytes on.  Random base64
+    separates from prose at each of these lengths, random letters from 1,792 and random hex digits from 5,120; below those
     lengths they compress like prose and are kept.  Text with more than
     ``wide_share`` bytes beyond ASCII compresses less, as Chinese does, and
     has a lower limit.
