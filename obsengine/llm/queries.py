@@ -10,7 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontam, licenses, lm, packing, probminhash, secrets, tokenids, viterbi, winnow
+from . import (
+    collocations, compression, decontam, licenses, lm, packing, probminhash, secrets, tokenids, viterbi, warc, winnow,
+)
 from .common import documents
 
 # The tokenizer files, by name; a folder may be given instead.
@@ -63,12 +65,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(documents(spark, sf_dir), tokenizer_file(WORD_BPE))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digest(documents(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_token_ids, op3_lm_scoring, op4_license_scan, op5_decontamination,
         op6_quality_rules, op7_token_counts, op8_near_duplicates, op9_line_dedup, op10_packing,
+        op11_collocations, op12_warc,
     )
 }
 
-ORACLE: dict[str, str] = {"op9_line_dedup": winnow.ORACLE}
+ORACLE: dict[str, str] = {
+    "op9_line_dedup": winnow.ORACLE, "op11_collocations": collocations.ORACLE, "op12_warc": warc.ORACLE,
+}
