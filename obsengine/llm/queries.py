@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    collocations, compression, decontam, licenses, lm, packing, probminhash, secrets, tokenids, viterbi, warc, winnow,
+    alignment, collocations, compression, decontam, licenses, lm, packing, probminhash, secrets, tokenids, viterbi, warc, winnow,
 )
 from .common import documents
 
@@ -73,12 +73,16 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(documents(spark, sf_dir, "pages"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(documents(spark, sf_dir), tokenizer_file(BYTE_BPE), tokenizer_file(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_token_ids, op3_lm_scoring, op4_license_scan, op5_decontamination,
         op6_quality_rules, op7_token_counts, op8_near_duplicates, op9_line_dedup, op10_packing,
-        op11_collocations, op12_warc,
+        op11_collocations, op12_warc, op13_alignment,
     )
 }
 

@@ -1,14 +1,16 @@
 """Whole texts to token ids with a tokenizer file, one distinct word at a time.
 
-Both tokenizers used here cut a text at each single space between two other
+The tokenizers used here cut a text at each single space between two other
 characters before anything else, so a text's ids are the ids of its pieces
 between such spaces, one after another.  Pieces repeat, so each Python worker
-keeps the ids of the pieces it has met; the tokenizers library encodes every
-piece once.  Texts in which white space touches white space are encoded whole.
+keeps the ids of the pieces it has met; the library encodes new pieces many at
+a time, joined so that they don't touch.  Texts in which white space touches
+white space, and texts that hold an added token's string, are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from itertools import chain, islice
 
@@ -16,14 +18,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces that a worker remembers before it starts afresh.
-REMEMBERED = 900_000
+#: Pieces that a worker remembers, and their characters; beyond either, those
+#: met only once are forgotten.
+REMEMBERED = 600_000
+REMEMBERED_CHARS = 16 << 20
 #: Text that is encoded at once.
 TOKEN_SLICE_BYTES = 4 << 20
-#: Pieces are long beyond this; a megabyte of long pieces is forgotten at once.
-LONG = 64
+#: New pieces that are encoded as one text.
+JOINED = 512
 
-# Fixed value: white space as both files know it, besides space and line feed
+# Fixed value: white space as the files know it, besides space and line feed
 # (a superset is harmless), and white space that touches a space.
 _WHOLE = (
     r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -33,84 +37,236 @@ _WHOLE = (
 SIGNS = ".,;:!?\"'()[]{}<>#*$%&|~^+=/@"
 #: Marks a piece that no space precedes.
 HEAD = "\x1f"
+#: A word that parts pieces where a file drops white space.
+BETWEEN = "\x00"
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The character that stands for each byte in byte-level files: printable
+    Latin-1 characters stand for themselves, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 class Encoder:
-    def __init__(self, path: str, spaced: bool):
-        """``spaced``: a piece that follows a space is encoded with that space
-        (byte-level files); else the file drops white space."""
+    """Ids of a file of the tokenizers library.
+
+    ``spaced``: a piece that follows a space is encoded with that space
+    (byte-level files); else the file drops white space.  ``literal``: the
+    strings of added tokens are ordinary text; else they get their own ids, as
+    in the library's plain call.
+    """
+
+    remembered = REMEMBERED
+
+    def __init__(self, path: str, spaced: bool, literal: bool = False):
+        self.spaced = spaced
+        self._open(path, literal)
+        self.forget()
+
+    def _open(self, path: str, literal: bool) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are text
-        self.spaced = spaced
-        self._forget()
+        self.tokenizer.encode_special_tokens = literal
+        added = json.loads(self.tokenizer.to_str())["added_tokens"]
+        self.added = [] if literal else [t["content"] for t in added]
+        self.cut_signs = True
+        self.bytes_of: list[bytes] | None = None
+        if self.spaced:
+            alphabet = byte_alphabet()
+            self.bytes_of = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
+            for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+                self.bytes_of[i] = bytes(alphabet.get(c, 0) for c in token)
+            self.length_of = np.array([len(b) for b in self.bytes_of], np.int64)
+        else:
+            self.between = self._ids([BETWEEN])[0]
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.number: defaultdict[str, int] = defaultdict()
         self.number.default_factory = self.number.__len__  # a new piece gets the next number
         self.flat = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 14, np.int64)  # of a piece's ids in flat
-        self.size = np.zeros(1 << 14, np.int64)
-        self.filled = 0
+        self.size = np.zeros(1 << 14, np.int32)
+        self.good = np.zeros(1 << 14, bool)  # the ids' bytes are the piece's
+        self.uses = np.zeros(1 << 14, np.int8)  # slices that had the piece, 2 for more
+        self.filled = self.chars = 0
+
+    def _keep_used(self) -> None:
+        """Forget the pieces that one slice alone has had."""
+        n = len(self.number)
+        stay = np.flatnonzero(self.uses[:n] > 1)
+        if len(stay) > self.remembered // 2:
+            stay = stay[:0]
+        names = list(self.number)
+        names = [names[i] for i in stay.tolist()]
+        begin, size, good = self.begin[stay], self.size[stay], self.good[stay]
+        flat = self.flat[_ranges(begin, size)]
+        self.forget()
+        if sum(map(len, names)) > REMEMBERED_CHARS // 2:
+            return
+        self.number.update(zip(names, range(len(names)), strict=True))
+        self._room(len(names))
+        self._place(np.arange(len(names)), flat, size, good)
+        self.chars = sum(map(len, names))
+
+    def _room(self, n: int) -> None:
+        while n > len(self.begin):
+            for name in ("begin", "size", "good", "uses"):
+                x = getattr(self, name)
+                setattr(self, name, np.concatenate([x, np.zeros_like(x)]))
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _fits(self, ids: list[int], text: str) -> bool:
+        """The ids' bytes are the text's."""
+        return self.bytes_of is None or b"".join([self.bytes_of[i] for i in ids]) == text.encode()
+
     def _pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Lists of pieces, and which texts must be encoded whole."""
-        if not self.spaced:
-            return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "), np.zeros(0, np.int64)
-        whole = pc.match_substring_regex(texts, _WHOLE)
-        rest = pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n " + HEAD)
-        pieces = pc.split_pattern(pc.binary_join_element_wise(HEAD, rest, ""), " ")
-        return pieces, np.flatnonzero(np.asarray(whole))
+        whole = pc.match_substring_regex(texts, _WHOLE) if self.spaced else pa.array(np.zeros(len(texts), bool))
+        for string in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, string, ignore_case=True))
+        rest = pc.if_else(whole, "", texts)
+        if self.spaced:
+            rest = pc.replace_substring(rest, "\n", " \n " + HEAD)
+            rest = pc.binary_join_element_wise(HEAD, rest, "")
+        else:
+            rest = pc.replace_substring(rest, "\n", " ")
+        return pc.split_pattern(rest, " "), np.flatnonzero(np.asarray(whole))
 
     def _text(self, piece: str) -> str:
         if not self.spaced or piece == "\n":
             return piece
         return piece[1:] if piece[:1] == HEAD else " " + piece
 
-    def _place(self, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _place(self, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray, good: np.ndarray) -> None:
         """Remember the ids of the pieces with the numbers ``at``."""
         while self.filled + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.filled : self.filled + len(ids)] = ids
-        self.size[at] = sizes
-        self.begin[at] = self.filled + np.cumsum(sizes) - sizes
+        self.size[at], self.good[at] = sizes, good
+        self.begin[at] = self.filled + np.cumsum(sizes, dtype=np.int64) - sizes
         self.filled += len(ids)
 
+    def _split(self, ids: np.ndarray, texts: list[str], joined: str) -> np.ndarray | None:
+        """How many of a joined text's ids belong to each of its texts; None
+        where that can't be told.  Ids in between are marked by their order."""
+        gap = len(joined)
+        sizes = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)) + gap
+        ends = np.cumsum(sizes)
+        reached = np.cumsum(self.length_of[ids])
+        at = np.searchsorted(reached, ends - gap)
+        if reached[-1] != ends[-1] or (reached[at] != ends - gap).any():
+            return None
+        return at + 1
+
+    def _many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after another, and how many each has."""
+        flats, sizes = [], []
+        for at in range(0, len(texts), JOINED * 64):
+            groups = [texts[i : i + JOINED] for i in range(at, min(len(texts), at + JOINED * 64), JOINED)]
+            for group, ids in zip(groups, self._joined_ids(groups), strict=True):
+                found = ids if ids is not None else self._ids(group)
+                if ids is None:
+                    sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+                    flats.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+                else:
+                    flats.append(found[0])
+                    sizes.append(found[1])
+        return np.concatenate([np.zeros(0, np.uint32), *flats]), np.concatenate([np.zeros(0, np.int64), *sizes])
+
+    def _joined_ids(self, groups: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """(ids, sizes) of each group of texts, encoded as one text; None where
+        the texts' ids can't be told apart."""
+        if not self.spaced:
+            out = []
+            for ids in self._ids([f" {BETWEEN} ".join(g) for g in groups]):
+                out.append(np.array(ids, np.uint32))
+            found: list[tuple[np.ndarray, np.ndarray] | None] = []
+            for group, ids in zip(groups, out, strict=True):
+                edge = np.flatnonzero(ids == self.between[0]) if len(self.between) == 1 else np.zeros(0, np.int64)
+                if len(edge) != len(group) - 1 or any(BETWEEN in t for t in group):
+                    found.append(None)
+                    continue
+                sizes = np.diff(np.concatenate([[-1], edge, [len(ids)]])) - 1
+                found.append((np.delete(ids, edge), sizes))
+            return found
+        # texts with a space in front part themselves; others need a line feed
+        joins = ["" if g[0][:1] == " " else "\n" for g in groups]
+        coded = self._ids([j.join(g) + j for g, j in zip(groups, joins, strict=True)])
+        found = []
+        for group, join, ids_ in zip(groups, joins, coded, strict=True):
+            ids = np.array(ids_, np.uint32)
+            ends = self._split(ids, group, join) if len(ids) else None
+            if ends is None:
+                found.append(None)
+                continue
+            step = len(join)  # a line feed is one id
+            begins = np.concatenate([[0], ends[:-1] + step])
+            sizes = ends - begins
+            if (sizes < 1).any():
+                found.append(None)
+                continue
+            found.append((ids[_ranges(begins, sizes)], sizes))
+        return found
+
     def _learn(self, known: int) -> None:
         """Find the ids of the pieces numbered from ``known`` on.  Signs behind
         a letter are a piece of their own, as the files cut there as well."""
         number, before = self.number, HEAD if self.spaced else ""
         split = []
-        for p in list(islice(number, known, None)):
-            core = p.rstrip(SIGNS)
-            if len(core) < len(p) and core[-1:].lower()[-1:].isalpha():
-                split.append((number[p], number[core], number[before + p[len(core) :]]))
+        if self.cut_signs:
+            for p in list(islice(number, known, None)):
+                core = p.rstrip(SIGNS)
+                if len(core) < len(p) and core[-1:].lower()[-1:].isalpha():
+                    split.append((number[p], number[core], number[before + p[len(core) :]]))
         cut = {s[0] for s in split}
-        plain = [p for i, p in enumerate(islice(number, known, None), known) if i not in cut]
-        while len(number) > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            ids = self._ids([self._text(p) for p in part])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-            self._place(np.fromiter(map(number.__getitem__, part), np.int64, len(part)), flat, sizes)
+        plain = [(i, p) for i, p in enumerate(islice(number, known, None), known) if i not in cut]
+        self._room(len(number))
+        # pieces that join alike are encoded together
+        kinds: tuple[list, list, list] = ([], [], [])
+        for i, p in plain:
+            text = self._text(p)
+            alone = not text.strip() or "\n" in text
+            kinds[2 if alone else 0 if not self.spaced or text[0] == " " else 1].append((i, text))
+        for k, kind in enumerate(kinds):
+            if not kind:
+                continue
+            texts = [t for _, t in kind]
+            if k == 2:
+                ids = self._ids(texts)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+            else:
+                flat, sizes = self._many(texts)
+            good = np.ones(len(texts), bool)
+            if self.bytes_of is not None:
+                ends = np.cumsum(sizes)
+                data = b"".join([self.bytes_of[i] for i in flat.tolist()])
+                if data != "".join(texts).encode():
+                    parts = np.split(flat, ends[:-1])
+                    good = np.array([self._fits(ids.tolist(), t) for ids, t in zip(parts, texts, strict=True)], bool)
+            self._place(np.array([i for i, _ in kind], np.int64), flat, sizes, good)
         if split:
             at, core, mark = np.array(split, np.int64).T
             both = np.column_stack([core, mark]).ravel()
             ids = self.flat[_ranges(self.begin[both], self.size[both])]
-            self._place(at, ids, self.size[core] + self.size[mark])
+            self._place(at, ids, self.size[core] + self.size[mark], self.good[core] & self.good[mark])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (no NULL) one after another (uint32), and for
         each text the number of its ids."""
-        if len(self.number) > REMEMBERED:
-            self._forget()
+        ids, sizes, _ = self.encode_checked(texts)
+        return ids, sizes
+
+    def encode_checked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``encode``, and for each text whether its ids' bytes are its own
+        (where the file tells ids' bytes)."""
+        if len(self.number) > self.remembered or self.chars > REMEMBERED_CHARS:
+            self._keep_used()
         known = len(self.number)
         pieces, whole = self._pieces(texts)
         counts = np.asarray(pc.list_value_length(pieces)).astype(np.int64)
@@ -119,33 +275,82 @@ class Encoder:
         at = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
         if len(self.number) > known:
             self._learn(known)
+            self.chars += sum(map(len, islice(self.number, known, None)))
+        self.uses[at] = np.minimum(self.uses[at] + 1, 2)
         at = at[np.asarray(coded.indices)]
         size = self.size[at]
         flat = self.flat[_ranges(self.begin[at], size)]
-        if sum(len(p) for p in islice(self.number, known, None) if len(p) > LONG) > 1 << 20:
-            self._forget()  # not worth remembering
-        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])[edges]
+        bad = np.concatenate([[0], np.cumsum(~self.good[at])])[edges]
+        good = np.diff(bad) == 0
         if not len(whole):
-            return flat, np.diff(ends)
-        own = dict(zip(whole.tolist(), self._ids(texts.take(pa.array(whole)).to_pylist()), strict=True))
+            return flat, np.diff(ends), good
+        strings = texts.take(pa.array(whole)).to_pylist()
+        own = dict(zip(whole.tolist(), self._ids(strings), strict=True))
+        for i, s in zip(whole.tolist(), strings, strict=True):
+            good[i] = self._fits(own[i], s)
         parts = [
             np.array(own[i], np.uint32) if i in own else flat[ends[i] : ends[i + 1]] for i in range(len(texts))
         ]
-        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64), good
+
+
+class PieceEncoder(Encoder):
+    """Ids of a sentencepiece file, of texts as they are: the space that the
+    library adds in front of a text is taken as the text's own first space.
+
+    No piece of such a file has a space behind another character, so words
+    are encoded apart; it is checked when the file is opened.
+    """
+
+    remembered = REMEMBERED // 2  # new pieces cost less
+
+    def __init__(self, path: str):
+        super().__init__(path, True, True)
+
+    def _open(self, path: str, literal: bool) -> None:
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
+        if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in names):
+            raise ValueError(f"{path}: a piece has white space behind another character")
+        self.bytes_of = [
+            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode()
+            for i, p in enumerate(names)
+        ]
+        self.length_of = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.added, self.cut_signs = [], False
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        # behind a line feed a text is encoded without a space in front
+        front = [t[:1] == " " and len(t) > 1 for t in texts]
+        ids = self.model.encode([t[1:] if f else "\n" + t for f, t in zip(front, texts, strict=True)], num_threads=1)
+        return [i if f else i[2:] for f, i in zip(front, ids, strict=True)]
+
+    def _many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._ids(texts)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+
+#: Fixed value: sentencepiece's sign for a space.
+SPACE = "▁"
 
 
 def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """begin[0], ..., begin[0]+size[0]-1, begin[1], ..."""
-    first = np.cumsum(size) - size
+    first = np.cumsum(size, dtype=np.int64) - size
     return np.arange(int(size.sum())) + np.repeat(begin - first, size)
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
+def encoder(path: str, spaced: bool, literal: bool = False) -> Encoder:
     """The encoder of a file, kept by the Python worker from task to task."""
-    key = (path, spaced)
+    key = (path, spaced, literal)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, spaced)
+        _ENCODERS[key] = PieceEncoder(path) if path.endswith(".model") else Encoder(path, spaced, literal)
     return _ENCODERS[key]

@@ -22,4 +22,4 @@ def test_stages_take_effect(spark):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 13)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
