@@ -4,15 +4,16 @@ A suffix is a pointer to a word and the words behind it up to the end of its
 piece.  Texts are gathered to blocks of one language; in a block a multikey
 quicksort partitions pointers three ways by their first word, the partition of
 equal words by the second, and so on to the greatest depth.  The size of an
-equal partition is the count of its phrase in the block, and Spark adds the
-counts of all blocks.
-
-Routing comes between: the counts of single words, then of leading word pairs,
-are added up over all blocks before anything deeper is sorted.  A block learns
-which of its words and pairs reach the least count, pointers end at the first
-pair that doesn't, and partitions of infrequent leads are abandoned unsorted.
-Every shuffle moves sums of a block, so a phrase however frequent has one row
-a block; nothing is gathered by phrase or by language.
+equal partition is the count of its phrase in the block.
+
+Counts of blocks are routed to buckets by a hash of their words, and a bucket
+adds them up.  That happens for single words, then for leading word pairs,
+before anything deeper is sorted: a block gets back which of its words and
+pairs reach the least count, pointers end at the first pair that doesn't, and
+partitions of infrequent leads are abandoned unsorted.  A phrase however
+frequent has one count a block, and the number of buckets grows with the
+number of counts, so a bucket's size does not grow with the input.  Counts
+travel packed: sorted, as differences, compressed.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import raw_texts, slices, staged
+from .common import mix, raw_texts, slices, staged, word_hashes
 
 LONGEST = 5
 LEAST = 100
@@ -35,6 +37,8 @@ REPLACES_PERCENT = 100
 SCALE = 1000
 #: Texts of one language are sorted in blocks of about so many bytes.
 BLOCK_BYTES = 16 << 20
+#: Counts that one bucket adds up, about.
+BUCKET_ROWS = 1_000_000
 #: Blocks that one task may number.
 BLOCK_BITS = 24
 
@@ -46,9 +50,43 @@ _FOLD = bytes(
     10 if b in PIECE_ENDS else 32 if b in WORD_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
 
-BLOCKS = "block long, lang string, n_words long, words array<string>, counts array<long>, codes binary"
-CODED = "block long, lang string, gids array<long>, codes binary, pairs array<struct<g1:long,g2:long,n:long>>"
-DEEP = "lang string, ids array<long>, n long"
+BLOCKS = "block long, lang string, n_words long, n_rows long, codes binary, words binary, counts binary"
+CODED = "block long, lang string, n_rows long, gids binary, codes binary, pairs binary"
+#: Counts of a block that go to one bucket, and where they came from in it.
+CELLS = "lang string, bucket long, block long, depth int, rows binary, counts binary, places binary"
+#: What a bucket finds: frequent phrases (``ids``, ``f``, a single word's own
+#: ``word``), and for each block which of its rows they are.
+FOUND = "lang string, word string, ids array<long>, f long, block long, places binary, gids binary"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of integers, compressed: the first as differences, all by the
+    bytes of equal weight."""
+    out = []
+    for k, x in enumerate(columns):
+        x = np.diff(x.astype("<i8"), prepend=0) if k == 0 else x.astype("<i8")
+        out.append(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+
+
+def unpack(data: bytes, columns: int) -> np.ndarray:
+    """The packed columns, as rows of a matrix."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    found = np.ascontiguousarray(raw.reshape(columns, 8, -1).transpose(0, 2, 1)).view("<i8")[:, :, 0].astype(np.int64)
+    found[0] = np.cumsum(found[0])
+    return found
+
+
+def _squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _codes(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i4")
 
 
 def cut_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
@@ -142,12 +180,12 @@ def word_blocks(docs: DataFrame, text: str, lang: str, block_bytes: int) -> Data
             codes = np.asarray(coded.indices)
             n = np.bincount(codes, minlength=len(coded.dictionary))
             count += 1
-            cols = [
-                pa.array([(task << BLOCK_BITS) + count - 1]), pa.array([name]), pa.array([len(codes)]),
-                pa.ListArray.from_arrays([0, len(n)], coded.dictionary.cast(pa.string())), pa.ListArray.from_arrays([0, len(n)], pa.array(n, pa.int64())),
-                pa.array([apart(codes, piece).astype("<i4").tobytes()], pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in BLOCKS.split(", ")])
+            own = b"\n".join(coded.dictionary.cast(pa.binary()).to_pylist())
+            row = (
+                (task << BLOCK_BITS) + count - 1, name, len(codes), len(n),
+                _squeeze(apart(codes, piece).astype("<i4").tobytes()), _squeeze(own), pack([n]),
+            )
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], _names(BLOCKS))
 
         for batch in batches:
             for part in slices(batch, "t"):
@@ -164,15 +202,155 @@ def word_blocks(docs: DataFrame, text: str, lang: str, block_bytes: int) -> Data
     return staged(src.mapInArrow(run, BLOCKS), "word-blocks")
 
 
+def _bucket_cells(
+    row: tuple, hashes: np.ndarray, buckets: int, depth: int, columns: list[np.ndarray], counts: np.ndarray
+) -> Iterator[tuple]:
+    """A block's counts by bucket, as rows of CELLS."""
+    lang, block = row
+    to = (mix(hashes) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    edges = np.searchsorted(to[order], np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(edges)):
+        at = order[edges[k] : edges[k + 1]]
+        rows = pack([c[at] for c in columns]) if columns else b""
+        yield lang, int(k), block, depth, rows, pack([counts[at]]), pack([at])
+
+
+def _hash_rows(columns: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        out = mix(out ^ c.astype(np.uint64)) + np.uint64(len(columns))
+    return out
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    fields = [(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")]
+    cols = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, fields, strict=True)], [n for n, _ in fields])
+
+
+def _word_cells(buckets: int):
+    """Every block's distinct words by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
+                if not r["n_rows"]:
+                    continue
+                data = zstandard.ZstdDecompressor().decompress(r["words"])
+                words, hashes = data.split(b"\n"), word_hashes([data])[0]
+                (counts,) = unpack(r["counts"], 1)
+                rows = []
+                for cell in _bucket_cells((r["lang"], r["block"]), hashes, buckets, 1, [], counts):
+                    (at,) = unpack(cell[6], 1)
+                    own = _squeeze(b"\n".join([words[j] for j in at.tolist()]))
+                    rows.append((*cell[:4], own, *cell[5:]))
+                yield _batch(rows, CELLS)
+
+    return run
+
+
+def _pair_cells(buckets: int):
+    """Every block's distinct pairs of frequent words by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
+                if r["n_rows"]:
+                    g1, g2, n = unpack(r["pairs"], 3)
+                    cells = _bucket_cells((r["lang"], r["block"]), _hash_rows([g1, g2]), buckets, 2, [g1, g2], n)
+                    yield _batch(list(cells), CELLS)
+
+    return run
+
+
+def _cells_of(table: pa.Table, depth: int) -> tuple[list[dict], np.ndarray, np.ndarray]:
+    """A bucket's cells of one depth, the number of rows before each, and all counts."""
+    cells = [r for r in table.to_pylist() if r["depth"] == depth]
+    counts = [unpack(r["counts"], 1)[0] for r in cells]
+    edges = np.concatenate([[0], np.cumsum([len(c) for c in counts])]).astype(np.int64)
+    return cells, edges, np.concatenate([np.zeros(0, np.int64), *counts])
+
+
+def _totals(of: np.ndarray, size: int, counts: np.ndarray) -> np.ndarray:
+    """Exact sums of the counts of equal numbers below ``size``."""
+    out = np.zeros(size, np.int64)
+    np.add.at(out, of, counts)
+    return out
+
+
+def _frequent_words(least: int, buckets: int):
+    """A bucket's words that reach the least count in their language.  A word's
+    id is its place in the bucket by count, times the buckets, and the bucket."""
+
+    def run(key, table):
+        lang, bucket = (k.as_py() for k in key)
+        cells, edges, counts = _cells_of(table, 1)
+        data = [zstandard.ZstdDecompressor().decompress(r["rows"]).split(b"\n") for r in cells]
+        coded = pa.array([w for d in data for w in d], pa.binary()).dictionary_encode()
+        of = np.asarray(coded.indices)
+        total = _totals(of, len(coded.dictionary), counts)
+        names = coded.dictionary.to_pylist()
+        good = np.flatnonzero(total >= least).tolist()
+        good.sort(key=lambda i: (-total[i], names[i]))
+        gid = np.full(len(names), -1, np.int64)
+        gid[good] = np.arange(len(good)) * buckets + bucket
+        rows = [(lang, names[i].decode(), [int(gid[i])], int(total[i]), None, None, None) for i in good]
+        for r, a, b in zip(cells, edges, edges[1:], strict=False):
+            own = gid[of[a:b]]
+            known = own >= 0
+            if known.any():
+                places = unpack(r["places"], 1)[0][known]
+                rows.append((lang, None, None, None, r["block"], pack([places]), pack([own[known]])))
+        return pa.Table.from_batches([_batch(rows, FOUND)])
+
+    return run
+
+
+def _frequent_rows(least: int, depths: range, tell_blocks: bool):
+    """A bucket's phrases of the given depths that reach the least count."""
+
+    def run(key, table):
+        lang, _ = (k.as_py() for k in key)
+        rows = []
+        for d in depths:
+            cells, edges, counts = _cells_of(table, d)
+            if not cells:
+                continue
+            ids = np.concatenate([unpack(r["rows"], d) for r in cells], axis=1)
+            order = np.lexsort(ids[::-1])
+            ids = ids[:, order]
+            new = np.append(True, (ids[:, 1:] != ids[:, :-1]).any(axis=0))
+            start = np.flatnonzero(new)
+            total = np.add.reduceat(counts[order], start)
+            good = total >= least
+            phrases, f = ids[:, start[good]].T.tolist(), total[good].tolist()
+            rows += [(lang, None, p, n, None, None, None) for p, n in zip(phrases, f, strict=True)]
+            if tell_blocks:
+                known = np.zeros(len(order), bool)
+                known[order] = np.repeat(good, np.diff(np.append(start, len(order))))
+                for r, a, b in zip(cells, edges, edges[1:], strict=False):
+                    if known[a:b].any():
+                        places = unpack(r["places"], 1)[0][known[a:b]]
+                        rows.append((lang, None, None, None, r["block"], pack([places]), None))
+        return pa.Table.from_batches([_batch(rows, FOUND)])
+
+    return run
+
+
 def _recode(blocks: pa.Table, known: pa.Table) -> pa.Table:
     """A block in numbers of its frequent words, and its counts of word pairs."""
-    names = [c.split()[0] for c in CODED.split(", ")]
     if not blocks.num_rows or not known.num_rows:
-        return _table([], CODED)
-    local, gids = (np.asarray(known.column(c).combine_chunks()) for c in ("i", "gid"))
+        return pa.Table.from_batches([_batch([], CODED)])
+    cells = known.to_pylist()
+    local = np.concatenate([unpack(r["places"], 1)[0] for r in cells])
+    gids = np.concatenate([unpack(r["gids"], 1)[0] for r in cells])
     order = np.argsort(gids)
     local, gids = local[order], gids[order]
-    own = np.frombuffer(blocks.column("codes")[0].as_buffer(), "<i4")
+    own = _codes(blocks.column("codes")[0].as_py())
     to = np.full(max(int(own.max(initial=-1)), int(local.max())) + 2, -1, np.int32)
     to[local] = np.arange(len(gids), dtype=np.int32)
     codes = to[own]  # the last place of ``to`` is -1, and so is to[-1]
@@ -183,60 +361,56 @@ def _recode(blocks: pa.Table, known: pa.Table) -> pa.Table:
     codes = np.where(stays, codes, -1)[keep].astype(np.int32)
     linked = np.append((codes[:-1] >= 0) & (codes[1:] >= 0), False) if len(codes) else np.zeros(0, bool)
     at = np.flatnonzero(linked)
-    g1, g2, n = [], [], []
+    pairs = [np.zeros((3, 0), np.int64)]
     for depth, pointer, size in multikey_quicksort(codes, at, np.full(len(at), 2), 2):
         if depth == 2:
-            g1.append(gids[codes[pointer]])
-            g2.append(gids[codes[pointer + 1]])
-            n.append(size)
-    arrays = [pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64)) for x in (g1, g2, n)]
-    pairs = pa.StructArray.from_arrays(arrays, ["g1", "g2", "n"])
-    cols = [
-        blocks.column("block").combine_chunks(), blocks.column("lang").combine_chunks(),
-        pa.ListArray.from_arrays([0, len(gids)], pa.array(gids, pa.int64())),
-        pa.array([codes.astype("<i4").tobytes()], pa.binary()), pa.ListArray.from_arrays([0, len(pairs)], pairs),
-    ]
-    return pa.Table.from_arrays(cols, names)
-
-
-def _deeper(depth: int):
-    """Counts of a block's phrases of three to ``depth`` words, all of whose
-    pairs are frequent."""
+            pairs.append(np.array([codes[pointer], codes[pointer + 1], size]))
+    a, b, n = np.concatenate(pairs, axis=1)
+    order = np.lexsort((b, a))  # codes are in the order of ids
+    a, b, n = a[order], b[order], n[order]
+    row = (
+        blocks.column("block")[0].as_py(), blocks.column("lang")[0].as_py(), len(n),
+        pack([gids]), _squeeze(codes.astype("<i4").tobytes()), pack([gids[a], gids[b], n]),
+    )
+    return pa.Table.from_batches([_batch([row], CODED)])
+
+
+def _deeper(depth: int, buckets: int):
+    """Counts by bucket of a block's phrases of three to ``depth`` words, all
+    of whose pairs are frequent."""
 
     def run(blocks: pa.Table, frequent: pa.Table) -> pa.Table:
         if not blocks.num_rows or not frequent.num_rows:
-            return _table([], DEEP)
-        gids = np.asarray(blocks.column("gids")[0].values)
-        codes = np.frombuffer(blocks.column("codes")[0].as_buffer(), "<i4")
-        g1, g2 = (np.searchsorted(gids, np.asarray(frequent.column(c).combine_chunks())) for c in ("g1", "g2"))
-        wanted = np.sort(g1 * len(gids) + g2)
+            return pa.Table.from_batches([_batch([], CELLS)])
+        (gids,) = unpack(blocks.column("gids")[0].as_py(), 1)
+        codes = _codes(blocks.column("codes")[0].as_py())
+        places = np.concatenate([unpack(r, 1)[0] for r in frequent.column("places").to_pylist()])
+        g1, g2, _ = unpack(blocks.column("pairs")[0].as_py(), 3)[:, np.sort(places)]
+        wanted = np.searchsorted(gids, g1) * len(gids) + np.searchsorted(gids, g2)
         pair = codes[:-1].astype(np.int64) * len(gids) + codes[1:]
         place = np.minimum(np.searchsorted(wanted, pair), len(wanted) - 1)
         linked = np.append((codes[:-1] >= 0) & (codes[1:] >= 0) & (wanted[place] == pair), False)
         reach = _reach(linked, depth)
         at = np.flatnonzero(reach >= 3)
-        lang = blocks.column("lang")[0].as_py()
-        found = []
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for d, pointer, size in multikey_quicksort(codes, at, reach[at], depth):
             if d >= 3:
-                ids = gids[codes[pointer[:, None] + np.arange(d)]]
-                found.append((d, ids, size))
-        return _table(found, DEEP, lang)
+                found.setdefault(d, []).append((pointer, size))
+        head = blocks.column("lang")[0].as_py(), blocks.column("block")[0].as_py()
+        rows = []
+        for d, parts in found.items():
+            pointer, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+            words = codes[pointer[:, None] + np.arange(d)]
+            order = np.lexsort(words.T[::-1])
+            columns = list(gids[words[order]].T)
+            rows += _bucket_cells(head, _hash_rows(columns), buckets, d, columns, size[order])
+        return pa.Table.from_batches([_batch(rows, CELLS)])
 
     return run
 
 
-def _table(found: list[tuple[int, np.ndarray, np.ndarray]], schema: str, lang: str = "") -> pa.Table:
-    names = [c.split()[0] for c in schema.split(", ")]
-    if schema == CODED:
-        pairs = pa.list_(pa.struct([("g1", pa.int64()), ("g2", pa.int64()), ("n", pa.int64())]))
-        kinds = [pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary(), pairs]
-        return pa.Table.from_arrays([pa.array([], k) for k in kinds], names)
-    offsets = np.concatenate([[0], *(np.full(len(n), d) for d, _, n in found)]).cumsum().astype(np.int32)
-    flat = np.concatenate([np.zeros(0, np.int64), *(ids.ravel() for _, ids, _ in found)])
-    n = np.concatenate([np.zeros(0, np.int64), *(n for _, _, n in found)])
-    ids = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int64()))
-    return pa.Table.from_arrays([pa.array([lang] * len(n), pa.string()), ids, pa.array(n, pa.int64())], names)
+def _buckets(rows: int | None) -> int:
+    return max(1, -(-(rows or 0) // BUCKET_ROWS))
 
 
 def count_phrases(
@@ -245,8 +419,8 @@ def count_phrases(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(phrases, vocabulary, sizes): every phrase of one to ``longest`` words
     that occurs ``least`` times or more in its language, as (lang, ids, f);
-    the frequent words as (gid, word); each language's number of words as
-    (lang, n).  All three are written tables.
+    the frequent words as (lang, gid, word); each language's number of words
+    as (lang, n).  An id stands for one word of a language.
 
     NULL texts are empty, a NULL language is ``und``; repeated rows count as
     often as they occur; an empty table gives empty tables; other columns are
@@ -254,27 +428,27 @@ def count_phrases(
     """
     blocks = word_blocks(docs, text, lang, block_bytes)
     sizes = staged(blocks.groupBy("lang").agg(F.sum("n_words").alias("n")), "language-sizes")
-    own = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w"))
-    own = own.select("block", "lang", "i", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    vocabulary = own.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    vocabulary = staged(vocabulary.withColumn("gid", F.monotonically_increasing_id()), "vocabulary")
-    known = own.join(vocabulary, ["lang", "word"]).select(F.col("block").alias("of"), "i", "gid")
+    buckets = _buckets(blocks.agg(F.sum("n_rows")).first()[0])
+    cells = blocks.select("block", "lang", "n_rows", "words", "counts").mapInArrow(_word_cells(buckets), CELLS)
+    words = cells.groupBy("lang", "bucket").applyInArrow(_frequent_words(least, buckets), FOUND)
+    words = staged(words, "frequent-words")
+    known = words.where("block IS NOT NULL").select(F.col("block").alias("of"), "places", "gids")
     coded = blocks.select("block", "lang", "codes").groupBy("block").cogroup(known.groupBy("of"))
     coded = staged(coded.applyInArrow(_recode, CODED), "coded-blocks")
 
-    own = coded.select("block", "lang", F.inline("pairs"))
-    pairs = own.groupBy("lang", "g1", "g2").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    pairs = staged(pairs, "pairs")
-    known = own.join(pairs.select("g1", "g2"), ["g1", "g2"]).select(F.col("block").alias("of"), "g1", "g2")
-    deep = coded.select("block", "lang", "gids", "codes").groupBy("block").cogroup(known.groupBy("of"))
-    deep = deep.applyInArrow(_deeper(longest), DEEP)
-    deep = deep.groupBy("lang", "ids").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-
-    phrases = (
-        vocabulary.select("lang", F.array("gid").alias("ids"), "f")
-        .unionByName(pairs.select("lang", F.array("g1", "g2").alias("ids"), "f"))
-        .unionByName(deep)
-    )
+    buckets = _buckets(coded.agg(F.sum("n_rows")).first()[0])
+    cells = coded.select("block", "lang", "n_rows", "pairs").mapInArrow(_pair_cells(buckets), CELLS)
+    pairs = cells.groupBy("lang", "bucket").applyInArrow(_frequent_rows(least, range(2, 3), True), FOUND)
+    pairs = staged(pairs, "frequent-pairs")
+    known = pairs.where("block IS NOT NULL").select(F.col("block").alias("of"), "places")
+    # a frequent pair's occurrences lead at most so many longer phrases
+    buckets = _buckets((longest - 2) * (pairs.agg(F.sum("f")).first()[0] or 0))
+    cells = coded.select("block", "lang", "gids", "codes", "pairs").groupBy("block").cogroup(known.groupBy("of"))
+    cells = cells.applyInArrow(_deeper(longest, buckets), CELLS)
+    deep = cells.groupBy("lang", "bucket").applyInArrow(_frequent_rows(least, range(3, longest + 1), False), FOUND)
+
+    phrases = words.unionByName(pairs).unionByName(deep).where("ids IS NOT NULL").select("lang", "ids", "f")
+    vocabulary = words.where("word IS NOT NULL").select("lang", F.col("ids")[0].alias("gid"), "word")
     return staged(phrases.where(F.size("ids") <= longest), "phrases"), vocabulary, sizes
 
 
@@ -297,10 +471,10 @@ def collocations(
 
     # a phrase around it is as frequent only if one with one more word is
     around = found.where(d > 2).select(
-        F.explode(F.array(F.slice("ids", 1, d - 1), F.slice("ids", 2, d - 1))).alias("ids"), F.col("a").alias("b")
+        "lang", F.explode(F.array(F.slice("ids", 1, d - 1), F.slice("ids", 2, d - 1))).alias("ids"), F.col("a").alias("b")
     )
-    around = around.groupBy("ids").agg(F.max("b").alias("b"))
-    kept = found.join(around, "ids", "left").where(
+    around = around.groupBy("lang", "ids").agg(F.max("b").alias("b"))
+    kept = found.join(around, ["lang", "ids"], "left").where(
         F.col("b").isNull() | (100 * F.col("b") < REPLACES_PERCENT * F.col("a"))
     )
 
@@ -308,9 +482,9 @@ def collocations(
     cuts = cuts.withColumn("left", F.slice("ids", 1, F.col("k"))).withColumn(
         "right", F.slice("ids", F.col("k") + 1, d - F.col("k"))
     )
-    first = phrases.select(F.col("ids").alias("left"), F.col("f").alias("l"))
-    rest = phrases.select(F.col("ids").alias("right"), F.col("f").alias("r"))
-    cuts = cuts.join(first, "left").join(rest, "right").join(sizes, "lang")
+    first = phrases.select("lang", F.col("ids").alias("left"), F.col("f").alias("l"))
+    rest = phrases.select("lang", F.col("ids").alias("right"), F.col("f").alias("r"))
+    cuts = cuts.join(first, ["lang", "left"]).join(rest, ["lang", "right"]).join(sizes, "lang")
     exact = lambda c: f"CAST({c} AS DECIMAL(18, 0))"
     score = F.expr(f"CAST({SCALE} * {exact('a')} AS DECIMAL(20, 0)) * {exact('n')} div ({exact('l')} * {exact('r')})")
     cuts = cuts.withColumn("score", score)
@@ -320,12 +494,12 @@ def collocations(
     ahead = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     near = scored.withColumn("place", F.rank().over(ahead)).where(F.col("place") <= top).drop("place")
     near = staged(near, "collocations")
-    spelled = near.select("ids", F.posexplode("ids").alias("i", "gid")).join(vocabulary.select("gid", "word"), "gid")
-    spelled = spelled.groupBy("ids").agg(
+    spelled = near.select("lang", "ids", F.posexplode("ids").alias("i", "gid")).join(vocabulary, ["lang", "gid"])
+    spelled = spelled.groupBy("lang", "ids").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "word"))), lambda w: w["word"]), " ").alias("phrase")
     )
     last = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    out = near.join(spelled, "ids").withColumn("rank", F.row_number().over(last).cast("long")).where(F.col("rank") <= top)
+    out = near.join(spelled, ["lang", "ids"]).withColumn("rank", F.row_number().over(last).cast("long")).where(F.col("rank") <= top)
     return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 

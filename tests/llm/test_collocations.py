@@ -68,10 +68,11 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_against_counting(spark):
+def test_against_counting(spark, monkeypatch):
     docs = frame(spark, TEXTS).repartition(3)
     clash = docs.select("*", *(F.lit(1).alias(c) for c in ("ids", "word", "score", "block", "n")))
-    for least, block in ((2, 1 << 20), (3, 40)):
+    for least, block, rows in ((2, 1 << 20, 1_000_000), (3, 40, 5)):
+        monkeypatch.setattr(C, "BUCKET_ROWS", rows)
         got = C.collocations(clash, least=least, block_bytes=block)
         assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
         assert sorted(map(tuple, got.collect())) == brute(TEXTS, least)
@@ -116,6 +117,14 @@ def test_partition_sizes_are_counts(words, depth):
     assert got == want
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(-(2**63) + 1, 2**63 - 1), st.integers(0, 5)), max_size=50))
+def test_packing(rows):
+    columns = [np.array([r[k] for r in rows], np.int64) for k in (0, 1)]
+    with np.errstate(over="ignore"):
+        assert np.array_equal(C.unpack(C.pack(columns), 2), np.array(columns))
+
+
 def test_reach():
     linked = np.array([1, 1, 0, 1, 1, 1, 1, 1, 0], bool)
     assert C._reach(linked, 5).tolist() == [3, 2, 1, 5, 5, 4, 3, 2, 1]
