@@ -23,11 +23,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, staged
-from .tokens import TOKEN_SLICE_BYTES, encoder
+from .tokens import TOKEN_SLICE_BYTES, encoder, release
 
 #: Texts of more bytes are cut to ranges of about so many characters.
 RANGE = 1 << 15
@@ -217,7 +218,7 @@ def block_row(
     pair = (a[cut_a - 1].astype(np.int64) << _ID_BITS) | b[cut_b - 1]
     pairs, of, n = np.unique(pair, return_inverse=True, return_counts=True)
     found = pa.StructArray.from_arrays([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
-    return (block, keys, n_a, n_b, n_groups, shas, of.astype("<i4").tobytes(), pa.ListArray.from_arrays([0, len(n)], found))
+    return (block, keys, n_a, n_b, n_groups, shas, zstandard.ZstdCompressor(level=1).compress(of.astype("<i4").tobytes()), pa.ListArray.from_arrays([0, len(n)], found))
 
 
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
@@ -293,6 +294,7 @@ def aligned_blocks(docs: DataFrame, file_a: str, file_b: str, text: str, key: st
                 cut_a, cut_b = np.flatnonzero(both_a) + 1, np.flatnonzero(both_b) + 1
                 yield _batch([block_row(f"{task}-{n}", part.column(0).to_pylist(), n_a, n_b, a, b, cut_a, cut_b)], BLOCK)
                 n += 1
+        release()
 
     def cut(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext
@@ -326,6 +328,7 @@ def aligned_blocks(docs: DataFrame, file_a: str, file_b: str, text: str, key: st
                     head = tuple(col[c][i].as_py() for c in ("doc", "doc_id", "part"))
                     rows.append(_fragment_row(head, fragment(*ids, *ends, good)))
                 yield _batch(rows, FRAGMENT)
+        release()
 
     def merge(table: pa.Table) -> pa.Table:
         table = table.sort_by("part")
@@ -399,9 +402,9 @@ def align_tokens(
         at, f, best = (np.asarray(found.column(c).combine_chunks()) for c in ("i", "f", "best"))
         count, is_best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         count[at], is_best[at] = f, best
-        link = np.frombuffer(block.column("links")[0].as_buffer(), "<i4")
+        link = np.frombuffer(zstandard.ZstdDecompressor().decompress(block.column("links")[0].as_py()), "<i4")
         ends = np.cumsum(n_groups)
         sums = [np.diff(np.concatenate([[0], np.cumsum(x[link])])[ends], prepend=0).tolist() for x in (is_best, count)]
         return _table(list(zip(keys, n_a, n_b, n_groups, n_groups, *sums, shas, strict=True)), RESULT)
 
-    return blocks.groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(finish, RESULT)
+    return blocks.drop("pairs").groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(finish, RESULT)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, staged
-from .tokens import TOKEN_SLICE_BYTES, encoder
+from .tokens import TOKEN_SLICE_BYTES, encoder, release
 
 CAPACITY = 2048
 #: Open windows of a partition.
@@ -113,7 +113,9 @@ def pack_documents(
 
         def rows_of(cols: dict, n: int) -> pa.RecordBatch:
             cols["part"] = np.full(n, part_id, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(cols.get(c, [None] * n), t) for c, t in types], names)
+            own = [cols.get(c, [None] * n) for c in names]
+            own = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, (_, t) in zip(own, types, strict=True)]
+            return pa.RecordBatch.from_arrays(own, names)
 
         types = [(c, pa.list_(pa.int32()) if c == "ids" else pa.int64()) for c in names]
         for batch in batches:
@@ -141,10 +143,12 @@ def pack_documents(
                     "offset": offset,
                 }
                 if keep_ids:
-                    cols["ids"] = [whole[a:b].astype(np.int32) for a, b in spans]
+                    # a document's pieces follow one another, and so do documents
+                    cols["ids"] = pa.ListArray.from_arrays(np.append(begin, len(whole)).astype(np.int32), whole.view(np.int32))
                 yield rows_of(cols, len(doc))
         open_now = {"window": [w for _, w in windows.fills], "leftover": [f for f, _ in windows.fills]}
         yield rows_of(open_now, len(windows.fills))
+        release()
 
     schema = PIECES + ", ids array<int>" * keep_ids
     written = staged(src.mapInArrow(run, schema), "pieces")

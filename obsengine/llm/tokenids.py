@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, staged
-from .tokens import TOKEN_SLICE_BYTES, encoder
+from .tokens import TOKEN_SLICE_BYTES, encoder, release
 
 BLOCK = 128
 #: Selector -> (ids in a word, bits of an id); 0 is a run, 15 an escape.
@@ -223,6 +223,7 @@ def write_token_ids(
                 )
                 chunk += 1
                 start += len(whole)
+        release()
 
     return staged(src.mapInArrow(run, FILE_SCHEMA), name)
 

@@ -63,7 +63,6 @@ def exact_ids(name, text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(queries.tokenizer_file(name))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
