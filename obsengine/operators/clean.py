@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
 
@@ -45,10 +46,12 @@ def clean_products(
     4. url text-cast and trimmed (missing -> ``null_url_token``);
     5. keep the last row per (url, scraped_at); ties broken by ``ordinal``.
 
-    Range checks and the price filter run before the dedup, so a negative
+    A time or price column that the files lack is NULL throughout.  Range
+    checks and the price filter run before the dedup, so a negative
     duplicate never hides a valid one.  The ordinal column is dropped unless
     ``drop_ordinal=False``.
     """
+    df = S.ensure_columns(df, T.StructType([T.StructField(c, T.StringType()) for c in ("scraped_at", "price_gbp")]))
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     out = df
     out = out.withColumn("scraped_at", S.to_utc_timestamp("scraped_at", types.get("scraped_at")))
@@ -91,6 +94,4 @@ def clean_weather(df: DataFrame, ordinal: str | None = None, drop_ordinal: bool
 
 
 def _weather_measure_schema():
-    from pyspark.sql import types as T
-
-    return T.StructType([T.StructField(c, T.DoubleType()) for c in WEATHER_MEASURES])
+    return T.StructType([T.StructField("time", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in WEATHER_MEASURES)])

@@ -5,11 +5,11 @@ Plain parquet tables take no MERGE/UPDATE/DELETE, so every operator here is
 a pure ``DataFrame -> DataFrame`` function; the caller writes the result as
 the new table version.
 
-Plan shape of ``upsert``: the current table is joined *left* to the
-deduplicated batch (the batch is usually far smaller, so the runtime
-planner can broadcast it after measuring it; otherwise it is a shuffle
-join), and new keys are found by a semi join of the table's key columns
-against the batch.  The table is never shuffled just to find its new rows.
+Plan shape of ``upsert``: without surrogate ids, one full outer join of the
+current rows with the deduplicated batch, each read once; the caller passes
+only the days that the batch touches (``plans.daily_tables``).  With surrogate
+ids the table is joined *left* to the batch (broadcast where it measures
+small), and new keys are found by a semi join of the table's key columns.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def upsert(
     """Insert-or-update ``batch`` into ``target`` by ``keys``.
 
     * the batch keeps its last row per key in ``batch_order`` (several rows
-      for one key: the last wins);
+      for one key: the last wins; without an order, the last by its values);
     * matched rows take ``update_cols`` from the batch (a NULL overwrites),
       plus ``match_sets`` (column -> expression over target columns and
       ``batch_col(..)``); every other column keeps the target's value;
@@ -63,11 +63,13 @@ def upsert(
     match_sets = dict(match_sets or {})
     insert_sets = dict(insert_sets or {})
 
-    b = keep_last(batch, keys, batch_order) if batch_order else batch
-    bb = b.select(*[F.col(c).alias(B + c) for c in b.columns])
-    cond = [F.col(k) == F.col(B + k) for k in keys]
-    joined = target.join(bb, on=_and(cond), how="left")
-    hit = F.col(B + keys[0]).isNotNull()
+    # without an order the last by the rows' values is one row a key, too
+    b = keep_last(batch, keys, list(batch_order or [c for c in batch.columns if c not in keys] or keys))
+
+    def insert_value(c: str, prefix: str) -> Column:
+        if c in insert_sets:
+            return insert_sets[c]
+        return F.col(prefix + c) if c in b.columns else F.lit(None)
 
     def matched_value(c: str) -> Column:
         if c in match_sets:
@@ -76,25 +78,29 @@ def upsert(
             return F.col(B + c)
         return F.col(c)
 
+    bb = b.select(*[F.col(c).alias(B + c) for c in b.columns])
+    cond = _and([F.col(k) == F.col(B + k) for k in keys])
+    hit = F.col(B + keys[0]).isNotNull()
+    if not id_col:
+        # one join for both: rows of the table, and keys that only the batch has
+        known = F.col(keys[0]).isNotNull()
+        return target.join(bb, on=cond, how="full_outer").select(
+            *[
+                F.when(hit & known, matched_value(c)).when(hit, insert_value(c, B)).otherwise(F.col(c)).cast(types[c]).alias(c)
+                for c in cols
+            ]
+        )
+
+    joined = target.join(bb, on=cond, how="left")
     updated = joined.select(
         *[F.when(hit, matched_value(c)).otherwise(F.col(c)).cast(types[c]).alias(c) for c in cols]
     )
-
     present = target.select(*keys).join(b.select(*keys), on=keys, how="left_semi")
     new = b.join(present, on=keys, how="left_anti")
-    if id_col:
-        start = _next_id(target, id_col)
-        new = dense_ids(new, list(id_order or keys), start=start, id_col="_new_id")
-        insert_sets.setdefault(id_col, F.col("_new_id"))
-
-    def insert_value(c: str) -> Column:
-        if c in insert_sets:
-            return insert_sets[c]
-        if c in b.columns:
-            return F.col(c)
-        return F.lit(None)
-
-    inserted = new.select(*[insert_value(c).cast(types[c]).alias(c) for c in cols])
+    start = _next_id(target, id_col)
+    new = dense_ids(new, list(id_order or keys), start=start, id_col="_new_id")
+    insert_sets.setdefault(id_col, F.col("_new_id"))
+    inserted = new.select(*[insert_value(c, "").cast(types[c]).alias(c) for c in cols])
     return updated.unionByName(inserted)
 
 
@@ -270,7 +276,9 @@ def upsert_dim_city(target: DataFrame, batch: DataFrame, batch_order=None) -> Da
     )
 
 
-WEATHER_FACT_MEASURES = ("temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m")
+#: The hourly measures and their types in the fact.
+WEATHER_TYPES = {f.name: f.dataType.simpleString() for f in FACT_WEATHER.fields[2:]}
+WEATHER_FACT_MEASURES = tuple(WEATHER_TYPES)
 
 
 def upsert_fact_weather(target: DataFrame, batch: DataFrame, batch_order=None) -> DataFrame:
