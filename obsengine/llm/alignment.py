@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, staged
-from .tokens import TOKEN_SLICE_BYTES, encoder, release
+from .tokens import encoder, release
 
 #: Texts of more bytes are cut to ranges of about so many characters.
 RANGE = 1 << 15
 #: Around the edge of a range a place where both files surely cut is sought.
 MARGIN = 1 << 11
+#: Texts of about so many bytes are aligned at once.
+SLICE_BYTES = 1 << 20
 #: Neighbouring fragments that one task composes in a round.
 FAN_IN = 16
 
@@ -281,7 +283,7 @@ def aligned_blocks(docs: DataFrame, file_a: str, file_b: str, text: str, key: st
         first, second = encoders()
         task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in slices(batch, "t", TOKEN_SLICE_BYTES):
+            for part in slices(batch, "t", SLICE_BYTES):
                 t = pa.array([" " + x if x else "" for x in part.column(1).to_pylist()], pa.string())
                 a, n_a, good_a = first.encode_checked(t)
                 b, n_b, good_b = second.encode_checked(t)
@@ -310,7 +312,7 @@ def aligned_blocks(docs: DataFrame, file_a: str, file_b: str, text: str, key: st
     def align(batches: Iterator[pa.RecordBatch]):
         first, second = encoders()
         for batch in batches:
-            for part in slices(batch, "stretch", TOKEN_SLICE_BYTES):
+            for part in slices(batch, "stretch", SLICE_BYTES):
                 rows = []
                 col = {c: part.column(i) for i, c in enumerate(part.schema.names)}
                 found = [e.encode_checked(col["stretch"]) for e in (first, second)]

@@ -195,7 +195,9 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands(), text: str = "text") -
 
 def quality_digest(docs: DataFrame) -> DataFrame:
     found, name = quality_rules(docs.select("doc_id", "text"))
-    return found.select("doc_id", F.col(f"{name}.*"))
+    first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    order = [*first, *(f.name for f in FIELDS if f.name not in first)]
+    return found.select("doc_id", *[F.col(f"{name}.{c}") for c in order])
 
 
 def keep_quality(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, raw_texts, slices, staged, word_hashes
+from .common import free_name, mix, raw_texts, slices, staged, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -348,8 +348,9 @@ def near_duplicates(
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each group of near duplicates, with its own columns.
     Repeated rows of one (doc_id, text) count once."""
-    keep = near_duplicates(docs, threshold).where("representative")
-    keep = keep.select(F.col("doc_id").alias("_k"), F.col("text_hash").alias("_h")).distinct()
-    mine = docs.withColumn("_h_own", F.xxhash64("text"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_k")) & (F.col("_h_own") == F.col("_h"))
-    return mine.join(keep, on, "left_semi").dropDuplicates(["doc_id", "_h_own"]).drop("_h_own")
+    k, h, own = (free_name(docs.columns, c) for c in ("_k", "_h", "_h_own"))
+    keep = near_duplicates(docs.select("doc_id", "text"), threshold).where("representative")
+    keep = keep.select(F.col("doc_id").alias(k), F.col("text_hash").alias(h)).distinct()
+    mine = docs.withColumn(own, F.xxhash64("text"))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(k)) & (F.col(own) == F.col(h))
+    return mine.join(keep, on, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

@@ -14,7 +14,7 @@ import ctypes
 import gc
 import json
 from collections import defaultdict
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +25,10 @@ import pyarrow.compute as pc
 REMEMBERED = 400_000
 REMEMBERED_CHARS = 16 << 20
 #: Text that is encoded at once.
-TOKEN_SLICE_BYTES = 1 << 20
-#: New pieces that are encoded as one text.
+TOKEN_SLICE_BYTES = 2 << 20
+#: New pieces that are encoded as one text, and those encoded at once.
 JOINED = 512
+LEARNT = 1 << 15
 
 # Fixed value: white space as the files know it, besides space and line feed
 # (a superset is harmless), and white space that touches a space.
@@ -56,8 +57,8 @@ class Encoder:
 
     ``spaced``: a piece that follows a space is encoded with that space
     (byte-level files); else the file drops white space.  ``literal``: the
-    strings of added tokens are ordinary text; else they get their own ids, as
-    in the library's plain call.
+    strings of added tokens are ordinary text, and the bytes of ids are
+    checked; else they get their own ids, as in the library's plain call.
     """
 
     remembered = REMEMBERED
@@ -74,8 +75,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = literal
         added = json.loads(self.tokenizer.to_str())["added_tokens"]
         self.added = [] if literal else [t["content"] for t in added]
-        self.cut_signs = True
-        self.bytes_of: list[bytes] | None = None
+        self.checks = literal  # the bytes of ids are compared
         if self.spaced:
             alphabet = byte_alphabet()
             self.bytes_of = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -83,7 +83,7 @@ class Encoder:
                 self.bytes_of[i] = bytes(alphabet.get(c, 0) for c in token)
             self.length_of = np.array([len(b) for b in self.bytes_of], np.int64)
         else:
-            self.between = self._ids([BETWEEN])[0]
+            (self.between,) = self._ids([BETWEEN])[0]
 
     def forget(self) -> None:
         self.number: defaultdict[str, int] = defaultdict()
@@ -124,7 +124,7 @@ class Encoder:
 
     def _fits(self, ids: list[int], text: str) -> bool:
         """The ids' bytes are the text's."""
-        return self.bytes_of is None or b"".join([self.bytes_of[i] for i in ids]) == text.encode()
+        return b"".join([self.bytes_of[i] for i in ids]) == text.encode()
 
     def _pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Lists of pieces, and which texts must be encoded whole."""
@@ -139,11 +139,6 @@ class Encoder:
             rest = pc.replace_substring(rest, "\n", " ")
         return pc.split_pattern(rest, " "), np.flatnonzero(np.asarray(whole))
 
-    def _text(self, piece: str) -> str:
-        if not self.spaced or piece == "\n":
-            return piece
-        return piece[1:] if piece[:1] == HEAD else " " + piece
-
     def _place(self, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray, good: np.ndarray) -> None:
         """Remember the ids of the pieces with the numbers ``at``."""
         while self.filled + len(ids) > len(self.flat):
@@ -153,110 +148,96 @@ class Encoder:
         self.begin[at] = self.filled + np.cumsum(sizes, dtype=np.int64) - sizes
         self.filled += len(ids)
 
-    def _split(self, ids: np.ndarray, texts: list[str], joined: str) -> np.ndarray | None:
-        """How many of a joined text's ids belong to each of its texts; None
-        where that can't be told.  Ids in between are marked by their order."""
-        gap = len(joined)
-        sizes = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)) + gap
-        ends = np.cumsum(sizes)
-        reached = np.cumsum(self.length_of[ids])
-        at = np.searchsorted(reached, ends - gap)
-        if reached[-1] != ends[-1] or (reached[at] != ends - gap).any():
-            return None
-        return at + 1
-
-    def _many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _alone(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and how many each has."""
-        flats, sizes = [], []
-        for at in range(0, len(texts), JOINED * 64):
-            groups = [texts[i : i + JOINED] for i in range(at, min(len(texts), at + JOINED * 64), JOINED)]
-            for group, ids in zip(groups, self._joined_ids(groups), strict=True):
-                found = ids if ids is not None else self._ids(group)
-                if ids is None:
-                    sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-                    flats.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
-                else:
-                    flats.append(found[0])
-                    sizes.append(found[1])
-        return np.concatenate([np.zeros(0, np.uint32), *flats]), np.concatenate([np.zeros(0, np.int64), *sizes])
-
-    def _joined_ids(self, groups: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """(ids, sizes) of each group of texts, encoded as one text; None where
-        the texts' ids can't be told apart."""
-        if not self.spaced:
-            out = []
-            for ids in self._ids([f" {BETWEEN} ".join(g) for g in groups]):
-                out.append(np.array(ids, np.uint32))
-            found: list[tuple[np.ndarray, np.ndarray] | None] = []
-            for group, ids in zip(groups, out, strict=True):
-                edge = np.flatnonzero(ids == self.between[0]) if len(self.between) == 1 else np.zeros(0, np.int64)
-                if len(edge) != len(group) - 1 or any(BETWEEN in t for t in group):
-                    found.append(None)
-                    continue
-                sizes = np.diff(np.concatenate([[-1], edge, [len(ids)]])) - 1
-                found.append((np.delete(ids, edge), sizes))
-            return found
-        # texts with a space in front part themselves; others need a line feed
-        joins = ["" if g[0][:1] == " " else "\n" for g in groups]
-        coded = self._ids([j.join(g) + j for g, j in zip(groups, joins, strict=True)])
-        found = []
-        for group, join, ids_ in zip(groups, joins, coded, strict=True):
-            ids = np.array(ids_, np.uint32)
-            ends = self._split(ids, group, join) if len(ids) else None
-            if ends is None:
-                found.append(None)
-                continue
-            step = len(join)  # a line feed is one id
-            begins = np.concatenate([[0], ends[:-1] + step])
-            sizes = ends - begins
-            if (sizes < 1).any():
-                found.append(None)
-                continue
-            found.append((ids[_ranges(begins, sizes)], sizes))
-        return found
-
-    def _learn(self, known: int) -> None:
-        """Find the ids of the pieces numbered from ``known`` on.  Signs behind
-        a letter are a piece of their own, as the files cut there as well."""
-        number, before = self.number, HEAD if self.spaced else ""
-        split = []
-        if self.cut_signs:
-            for p in list(islice(number, known, None)):
-                core = p.rstrip(SIGNS)
-                if len(core) < len(p) and core[-1:].lower()[-1:].isalpha():
-                    split.append((number[p], number[core], number[before + p[len(core) :]]))
-        cut = {s[0] for s in split}
-        plain = [(i, p) for i, p in enumerate(islice(number, known, None), known) if i not in cut]
-        self._room(len(number))
-        # pieces that join alike are encoded together
-        kinds: tuple[list, list, list] = ([], [], [])
-        for i, p in plain:
-            text = self._text(p)
-            alone = not text.strip() or "\n" in text
-            kinds[2 if alone else 0 if not self.spaced or text[0] == " " else 1].append((i, text))
-        for k, kind in enumerate(kinds):
-            if not kind:
+        ids = self._ids(texts.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+    def _many(self, texts: pa.Array, behind: str) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_alone``, with ``behind`` after each text to hold them apart;
+        many texts are encoded as one."""
+        if behind:
+            texts = pc.binary_join_element_wise(texts, "", behind)
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        cuts = [*range(0, len(texts), JOINED), len(texts)]
+        raw = memoryview(data)
+        joined = [str(raw[ends[i] : ends[j]], "utf-8") for i, j in zip(cuts, cuts[1:])]
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(i, np.uint32) for i in self._ids(joined))])
+        if self.spaced:
+            # a token ends where each text does, for its bytes are told
+            reached = np.cumsum(self.length_of[ids])
+            stop = ends[1:] - ends[0] - len(behind)
+            to = np.minimum(np.searchsorted(reached, stop), len(reached) - 1)
+            told = reached[-1] == ends[-1] - ends[0] and (reached[to] == stop).all()
+            begin, end = np.concatenate([[0], to[:-1] + 1 + len(behind)]), to + 1
+        else:
+            end = np.flatnonzero(ids == self.between)
+            told = len(end) == len(texts)
+            begin = np.concatenate([[0], end[:-1] + 1])
+        if not told:
+            return self._alone(pc.utf8_slice_codeunits(texts, 0, -len(behind)) if behind else texts)
+        return ids[_ranges(begin, end - begin)], end - begin
+
+    def _learn_split(self, new: pa.Array, known: int) -> None:
+        """Find the ids of new pieces, which are numbered from ``known`` on.
+        Signs behind a letter are a piece of their own, as the files cut there
+        as well; so "word," and "word;" need "word" only once."""
+        numbers = known + np.arange(len(new))
+        core = pc.utf8_rtrim(new, characters=SIGNS)
+        split = pc.and_(pc.less(pc.binary_length(core), pc.binary_length(new)), pc.match_substring_regex(core, r"\p{L}\z"))
+        cut = np.asarray(split)
+        if not cut.any():
+            return self._learn(new, numbers)
+        cores = core.filter(split).to_numpy(zero_copy_only=False)
+        before = HEAD if self.spaced else ""
+        pieces = new.filter(split).to_numpy(zero_copy_only=False)
+        marks = [before + p[len(c) :] for p, c in zip(pieces, cores, strict=True)]
+        start = len(self.number)
+        at_core, at_mark = (np.fromiter(map(self.number.__getitem__, x), np.int64, len(x)) for x in (cores, marks))
+        both = np.concatenate([at_core, at_mark])
+        more, where = np.unique(both, return_index=True)
+        more, where = more[more >= start], where[more >= start]
+        names = np.concatenate([cores, np.array(marks, object)])[where]
+        rest = pa.concat_arrays([new.filter(pc.invert(split)), pa.array(names, pa.string())])
+        self._learn(rest, np.concatenate([numbers[~cut], more]))
+        ids = np.column_stack([at_core, at_mark]).ravel()
+        self._place(
+            numbers[cut], self.flat[_ranges(self.begin[ids], self.size[ids])], self.size[at_core] + self.size[at_mark],
+            self.good[at_core] & self.good[at_mark],
+        )
+
+    def _learn(self, new: pa.Array, numbers: np.ndarray) -> None:
+        """Find the ids of new pieces with the given numbers."""
+        self._room(len(self.number))
+        filled = pc.greater(pc.binary_length(new), 0)
+        if self.spaced:
+            head, line = pc.starts_with(new, HEAD), pc.equal(new, "\n")
+            spaced = pc.binary_join_element_wise(" ", new, "")
+            texts = pc.if_else(head, pc.utf8_slice_codeunits(new, 1), pc.if_else(line, new, spaced))
+            follows = pc.and_(filled, pc.invert(pc.or_(head, line)))
+            first = pc.and_(head, pc.greater(pc.binary_length(texts), 0))
+            kinds = [(follows, ""), (first, "\n"), (pc.invert(pc.or_(follows, first)), None)]
+        else:
+            texts = new
+            apart = pc.and_(filled, pc.invert(pc.match_substring(new, BETWEEN)))
+            kinds = [(apart, f" {BETWEEN} "), (pc.invert(apart), None)]
+        for mask, behind in kinds:
+            at = np.flatnonzero(np.asarray(mask))
+            if not len(at):
                 continue
-            texts = [t for _, t in kind]
-            if k == 2:
-                ids = self._ids(texts)
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-            else:
-                flat, sizes = self._many(texts)
-            good = np.ones(len(texts), bool)
-            if self.bytes_of is not None:
-                ends = np.cumsum(sizes)
-                data = b"".join([self.bytes_of[i] for i in flat.tolist()])
-                if data != "".join(texts).encode():
-                    parts = np.split(flat, ends[:-1])
-                    good = np.array([self._fits(ids.tolist(), t) for ids, t in zip(parts, texts, strict=True)], bool)
-            self._place(np.array([i for i, _ in kind], np.int64), flat, sizes, good)
-        if split:
-            at, core, mark = np.array(split, np.int64).T
-            both = np.column_stack([core, mark]).ravel()
-            ids = self.flat[_ranges(self.begin[both], self.size[both])]
-            self._place(at, ids, self.size[core] + self.size[mark], self.good[core] & self.good[mark])
+            own = texts.filter(mask)
+            for i in range(0, len(at), LEARNT):
+                part = own.slice(i, LEARNT)
+                flat, sizes = self._alone(part) if behind is None else self._many(part, behind)
+                good = np.ones(len(part), bool)
+                if self.checks:
+                    data = b"".join([self.bytes_of[x] for x in flat.tolist()])
+                    if data != b"".join(part.cast(pa.binary()).to_numpy(zero_copy_only=False)):
+                        parts = np.split(flat, np.cumsum(sizes)[:-1])
+                        good = np.array([self._fits(x.tolist(), t) for x, t in zip(parts, part.to_pylist(), strict=True)], bool)
+                self._place(numbers[at[i : i + LEARNT]], flat, sizes, good)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (no NULL) one after another (uint32), and for
@@ -273,11 +254,12 @@ class Encoder:
         pieces, whole = self._pieces(texts)
         counts = np.asarray(pc.list_value_length(pieces)).astype(np.int64)
         coded = pc.list_flatten(pieces).dictionary_encode()  # each distinct piece is looked up once
-        distinct = coded.dictionary.to_pylist()
-        at = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        distinct = coded.dictionary
+        at = np.fromiter(map(self.number.__getitem__, distinct.to_numpy(zero_copy_only=False)), np.int64, len(distinct))
         if len(self.number) > known:
-            self._learn(known)
-            self.chars += sum(map(len, islice(self.number, known, None)))
+            new = distinct.filter(pa.array(at >= known))
+            self._learn_split(new, known)
+            self.chars += pc.sum(pc.binary_length(new)).as_py()
         self.uses[at] = np.minimum(self.uses[at] + 1, 2)
         at = at[np.asarray(coded.indices)]
         size = self.size[at]
@@ -290,8 +272,9 @@ class Encoder:
             return flat, np.diff(ends), good
         strings = texts.take(pa.array(whole)).to_pylist()
         own = dict(zip(whole.tolist(), self._ids(strings), strict=True))
-        for i, s in zip(whole.tolist(), strings, strict=True):
-            good[i] = self._fits(own[i], s)
+        if self.checks:
+            for i, s in zip(whole.tolist(), strings, strict=True):
+                good[i] = self._fits(own[i], s)
         parts = [
             np.array(own[i], np.uint32) if i in own else flat[ends[i] : ends[i + 1]] for i in range(len(texts))
         ]
@@ -323,7 +306,7 @@ class PieceEncoder(Encoder):
             for i, p in enumerate(names)
         ]
         self.length_of = np.array([len(b) for b in self.bytes_of], np.int64)
-        self.added, self.cut_signs = [], False
+        self.added, self.checks = [], True
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         # behind a line feed a text is encoded without a space in front
@@ -331,10 +314,11 @@ class PieceEncoder(Encoder):
         ids = self.model.encode([t[1:] if f else "\n" + t for f, t in zip(front, texts, strict=True)], num_threads=1)
         return [i if f else i[2:] for f, i in zip(front, ids, strict=True)]
 
-    def _many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self._ids(texts)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+    def _many(self, texts: pa.Array, behind: str) -> tuple[np.ndarray, np.ndarray]:
+        return self._alone(texts)  # the library takes short texts as fast
+
+    def _learn_split(self, new: pa.Array, known: int) -> None:
+        self._learn(new, known + np.arange(len(new)))  # these files cut elsewhere
 
 
 #: Fixed value: sentencepiece's sign for a space.

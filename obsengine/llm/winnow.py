@@ -105,24 +105,25 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     n_lines, n_cut = free_name(docs.columns, "n_lines"), free_name(docs.columns, "n_cut")
     own = free_name(docs.columns, "text_hash")
+    cut_doc, cut_hash, runs_, lines_, kept_ = (free_name(docs.columns, c) for c in ("_cut_doc", "_cut_hash", "_runs", "_lines", "_kept"))
     hashed = docs.withColumn(own, F.xxhash64("text"))
     runs = repeated_runs(hashed.select("doc_id", F.col(own).alias("text_hash"), "text"), min_words)
-    runs = runs.select(F.col("doc_id").alias("_cut_doc"), F.col("text_hash").alias("_cut_hash"), F.col("runs").alias("_runs"))
-    on = F.col("doc_id").eqNullSafe(F.col("_cut_doc")) & (F.col(own) == F.col("_cut_hash"))
-    joined = hashed.join(runs, on, "left").withColumn("_lines", F.split("text", "\n"))
-    inside = lambda i: F.exists("_runs", lambda r: (i >= r["first"]) & (i <= r["last"]))
-    kept = F.when(F.col("_runs").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x, i: ~inside(i)))
-    joined = joined.withColumn("_kept", kept)
-    left = F.array_join("_kept", "\n")
+    runs = runs.select(F.col("doc_id").alias(cut_doc), F.col("text_hash").alias(cut_hash), F.col("runs").alias(runs_))
+    on = F.col("doc_id").eqNullSafe(F.col(cut_doc)) & (F.col(own) == F.col(cut_hash))
+    joined = hashed.join(runs, on, "left").withColumn(lines_, F.split("text", "\n"))
+    inside = lambda i: F.exists(runs_, lambda r: (i >= r["first"]) & (i <= r["last"]))
+    kept = F.when(F.col(runs_).isNull(), F.col(lines_)).otherwise(F.filter(lines_, lambda x, i: ~inside(i)))
+    joined = joined.withColumn(kept_, kept)
+    left = F.array_join(kept_, "\n")
     text = (
-        F.when(F.col("_runs").isNull(), F.col("text"))
+        F.when(F.col(runs_).isNull(), F.col("text"))
         .when(left.rlike(WORD), left)
         .otherwise(F.lit(""))
     )
-    total = F.coalesce(F.size("_lines"), F.lit(0)).cast("long")
+    total = F.coalesce(F.size(lines_), F.lit(0)).cast("long")
     total = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(total)
-    cut = F.when(F.col("_runs").isNull(), F.lit(0).cast("long")).otherwise(
-        (F.size("_lines") - F.size("_kept")).cast("long")
+    cut = F.when(F.col(runs_).isNull(), F.lit(0).cast("long")).otherwise(
+        (F.size(lines_) - F.size(kept_)).cast("long")
     )
     return joined.select(
         *(text.alias(c) if c == "text" else F.col(c) for c in docs.columns), total.alias(n_lines), cut.alias(n_cut)
