@@ -33,8 +33,9 @@ def _squeeze_inner(segs: Column) -> Column:
 
 
 def remove_dot_segments(path: Column, squeeze: Column | bool = False) -> Column:
-    """Drop ``.`` segments and let ``..`` remove the segment before it (never
-    the root); a trailing ``.``/``..`` leaves a trailing slash.  With
+    """Drop ``.`` segments and let ``..`` remove the segment before it (at the
+    root the root's own empty segment; the path begins with a slash all the
+    same); a trailing ``.``/``..`` leaves a trailing slash.  With
     ``squeeze``, empty inner segments are dropped first."""
     segs = F.split(path, "/")
     segs = F.when(F.lit(squeeze) if isinstance(squeeze, bool) else squeeze, _squeeze_inner(segs)).otherwise(segs)
@@ -42,15 +43,19 @@ def remove_dot_segments(path: Column, squeeze: Column | bool = False) -> Column:
         segs,
         F.array().cast("array<string>"),
         lambda acc, x: F.when(
-            x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc)
+            x == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc)
         )
         .when(x == ".", acc)
         .otherwise(F.array_append(acc, x)),
     )
     last = F.element_at(segs, -1)
     folded = F.when(last.isin(".", ".."), F.array_append(folded, F.lit(""))).otherwise(folded)
-    joined = F.array_join(folded, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    return _rooted(F.array_join(folded, "/"))
+
+
+def _rooted(path: Column) -> Column:
+    """A path behind an authority begins with a slash."""
+    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
 
 
 def base_of(url: str | Column) -> Column:
@@ -104,12 +109,12 @@ def resolve_url_sql(base: str, href: str) -> str:
     segs = f"(CASE WHEN starts_with({hpath}, '/') THEN {raw} ELSE {squeezed} END)"
     fold = (
         f"list_reduce({segs}, lambda acc, x: CASE WHEN x = '..' THEN "
-        f"(CASE WHEN len(acc) > 1 THEN acc[:-2] ELSE acc END) WHEN x = '.' THEN acc "
+        f"(CASE WHEN len(acc) > 0 THEN acc[:-2] ELSE acc END) WHEN x = '.' THEN acc "
         f"ELSE list_append(acc, x) END, []::VARCHAR[])"
     )
     fold = f"(CASE WHEN {segs}[-1] IN ('.', '..') THEN list_append({fold}, '') ELSE {fold} END)"
     joined = f"array_to_string({fold}, '/')"
-    path = f"(CASE WHEN {joined} = '' THEN '/' ELSE {joined} END)"
+    path = f"(CASE WHEN starts_with({joined}, '/') THEN {joined} ELSE '/' || {joined} END)"
     return (
         f"(CASE WHEN regexp_matches({href}, '{_SCHEME}') THEN {href} "
         f"WHEN NOT {no_auth} AND starts_with({href}, '//') THEN {scheme} || ':' || {href} "
@@ -169,7 +174,7 @@ def with_resolved_url(df, base: str, href: str, out: str):
         F.aggregate(
             segs,
             F.array().cast("array<string>"),
-            lambda acc, x: F.when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
+            lambda acc, x: F.when(x == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
             .when(x == ".", acc)
             .otherwise(F.array_append(acc, x)),
         ).alias("_u_fold"),
@@ -178,7 +183,7 @@ def with_resolved_url(df, base: str, href: str, out: str):
         F.col("_u_fold")
     )
     s7 = s6.select("*", F.array_join(fold, "/").alias("_u_joined"))
-    path = F.when(F.col("_u_joined") == "", F.lit("/")).otherwise(F.col("_u_joined"))
+    path = _rooted(F.col("_u_joined"))
     origin, bpath, bquery = F.col("_u_origin"), F.col("_u_bpath"), F.col("_u_bquery")
     na = F.col("_u_na")
     resolved = (

@@ -58,3 +58,4 @@ def load_all() -> None:
     from . import queries_core  # noqa: F401
     from . import queries_store  # noqa: F401
     from . import queries_io  # noqa: F401
+    from . import queries_load  # noqa: F401

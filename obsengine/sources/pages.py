@@ -91,16 +91,14 @@ def reach(links: DataFrame, starts: DataFrame) -> DataFrame:
     return found
 
 
-def crawl(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGES) -> DataFrame:
-    """The pages a category crawl visits, over a table of fetched pages.
+def visits(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGES) -> DataFrame:
+    """(start_url, hop, url) of the pages that a category crawl visits.
 
     From each ``start_url`` (column of ``starts``) the crawl follows the
     resolved next-page link until there is none or ``max_pages`` pages have
     been visited; like the reference it keeps no visited set.  Without
     ``max_pages`` it goes on until no new page is reached, and visits each
-    page once.  Returns (start_url, hop, page_id, url, html).  The walk only
-    joins the narrow (url -> next url) table, ``max_pages`` times; the html
-    is joined once at the end.
+    page once.  The walk only joins the narrow (url -> next url) table.
     """
     # One regex pass over the html; the narrow link table (a row per page)
     # is kept as a reliable checkpoint so every hop reads it, not the pages.
@@ -112,27 +110,30 @@ def crawl(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGES
         .checkpoint(eager=True)
     )
     if max_pages is None:
-        visits = reach(links, starts)
-        return visits.join(pages, "url").select("start_url", "hop", "page_id", "url", "html")
-    step = starts.select("start_url", F.col("start_url").alias("url"), F.lit(0).alias("hop"))
-    walked = [step]
+        return reach(links, starts).select("start_url", "hop", "url")
+    step = starts.select("start_url", F.lit(0).alias("hop"), F.col("start_url").alias("url"))
+    walked = step
     for hop in range(1, max_pages):
-        step = (
-            step.join(links, step.url == links._from)
-            .where(F.col("_to").isNotNull())
-            .select("start_url", F.col("_to").alias("url"), F.lit(hop).alias("hop"))
-        )
-        walked.append(step)
-    visits = walked[0]
-    for w in walked[1:]:
-        visits = visits.unionByName(w)
-    return visits.join(pages, "url").select("start_url", "hop", "page_id", "url", "html")
+        step = step.join(links, step.url == links._from).select("start_url", F.lit(hop).alias("hop"), F.col("_to").alias("url"))
+        walked = walked.unionByName(step)
+    return walked
+
+
+def crawl(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGES) -> DataFrame:
+    """The pages a category crawl visits (``visits``), a row a visit:
+    (start_url, hop, page_id, url, html).  The html is joined once."""
+    walked = visits(pages, starts, max_pages)
+    return walked.join(pages, "url").select("start_url", "hop", "page_id", "url", "html")
 
 
 def category_cards(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGES, lenient: bool = False,
                    as_of=None) -> DataFrame:
     """Product cards of every page a category crawl visits, tagged with the
-    crawl's start url and the hop at which the page was reached."""
-    visited = crawl(pages, starts, max_pages)
-    cards = product_cards(visited.select("page_id", "url", "html"), lenient=lenient, as_of=as_of)
-    return visited.select("start_url", "hop", "page_id").join(cards, "page_id").drop("page_id", "card_no")
+    crawl's start url and the hop at which the page was reached.  A page that
+    several crawls reach is read once, and its cards belong to each visit."""
+    walked = visits(pages, starts, max_pages).checkpoint(eager=True)
+    reached = pages.join(walked.select("url").distinct(), "url", "left_semi").select("page_id", "url", "html")
+    cards = product_cards(reached, lenient=lenient, as_of=as_of).withColumnRenamed("url", "_card")
+    cards = cards.join(reached.select("page_id", F.col("url").alias("_page")), "page_id")
+    out = walked.join(cards, walked.url == cards._page).drop("url", "_page", "page_id", "card_no")
+    return out.withColumnRenamed("_card", "url")

@@ -52,14 +52,16 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == set()
+    # what SQL can't say is tested beside its operator (tests/llm)
+    rest = set(q) - set(o)
+    assert all(n == "pipeline" or n.startswith("op") for n in rest), rest
 
 
 SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "string": "VARCHAR",
             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_equals_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rel = duck.sql(E.oracle_sql()[name])
