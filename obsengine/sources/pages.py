@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import html as H
+from ..functions import markup as M
 from ..functions.scalars import price_text_to_double, rating_word_to_int
 from ..functions.urls import base_of, with_resolved_url
 from ..session import checkpoint_dir
@@ -20,25 +20,26 @@ def product_cards(pages: DataFrame, lenient: bool = False, as_of=None) -> DataFr
     """One row per product card: source (the page's directory), product_name,
     price_gbp, availability, rating_1to5, url (resolved), scraped_at.
 
-    Price text drops the pound sign and reads a decimal comma; anything else
-    (a stray character, thousands separators) gives NULL unless ``lenient``.
-    An unknown rating word gives NULL.  ``scraped_at`` is ``as_of`` (the
-    load's stamp) or the current time.
+    Cards are read from the markup by ``functions.markup``, in any legal
+    spelling.  Price text drops the pound sign and reads a decimal comma;
+    anything else (a stray character, thousands separators) gives NULL unless
+    ``lenient``.  An unknown rating word gives NULL, and so does a field whose
+    element the card lacks.  ``scraped_at`` is ``as_of`` (the load's stamp) or
+    the current time.
     """
-    base = base_of("url")
-    c = pages.select("page_id", base.alias("source"), F.posexplode(H.cards("html")).alias("card_no", "card"))
+    c = pages.select("page_id", base_of("url").alias("source"), M.read_listing("html").alias("_read"))
+    c = c.select("page_id", "source", F.posexplode("_read.cards").alias("card_no", "card"))
     stamp = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
-    # Fields first, URL resolution after: the resolver reads its href many
-    # times, so the href must be a column, not a regex over the card.
+    # Fields first, URL resolution after: the resolver reads its href many times.
     fields = c.select(
         "page_id",
         "card_no",
         "source",
-        H.card_title("card").alias("product_name"),
-        price_text_to_double(H.card_price_text("card"), lenient=lenient).alias("price_gbp"),
-        H.card_availability("card").alias("availability"),
-        rating_word_to_int(H.card_rating_word("card")).cast("int").alias("rating_1to5"),
-        H.card_href("card").alias("_href"),
+        M.strip(F.col("card.title")).alias("product_name"),
+        price_text_to_double(F.col("card.price"), lenient=lenient).alias("price_gbp"),
+        F.regexp_replace("card.availability", r"\s+", " ").alias("availability"),
+        rating_word_to_int(F.col("card.rating")).cast("int").alias("rating_1to5"),
+        F.col("card.href").alias("_href"),
     )
     resolved = with_resolved_url(fields, "source", "_href", "url")
     return resolved.select(
@@ -49,18 +50,17 @@ def product_cards(pages: DataFrame, lenient: bool = False, as_of=None) -> DataFr
 
 def next_links(pages: DataFrame) -> DataFrame:
     """(page_id, url, next_url): the resolved next-page link, NULL if none."""
-    # The href is a column before it is resolved (the resolver reads it many
-    # times; it must not re-run a regex over the whole page each time).
-    x = pages.select("page_id", "url", H.next_href("html").alias("_href"))
+    # The resolver reads the href many times, and filters on its result are
+    # pushed through plain columns: a generated column is read from the page once.
+    x = pages.select("page_id", "url", F.explode(F.array(M.read_listing("html")["next"])).alias("_href"))
     return with_resolved_url(x, "url", "_href", "next_url").drop("_href")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """(page_id, link_no, href, link): every anchor of every page, resolved
-    against the page's url."""
-    x = pages.select("page_id", "url", F.posexplode(H.links("html")).alias("link_no", "href"))
-    x = x.select("page_id", "url", F.col("link_no").cast("bigint").alias("link_no"),
-                 H.decode_entities("href").alias("href"))
+    """(page_id, link_no, href, link): every anchor of every page that has an
+    href, resolved against the page's url."""
+    x = pages.select("page_id", "url", F.posexplode(M.anchors("html")).alias("link_no", "href"))
+    x = x.select("page_id", "url", F.col("link_no").cast("bigint").alias("link_no"), "href")
     return with_resolved_url(x, "url", "href", "link").select("page_id", "link_no", "href", "link")
 
 
@@ -100,7 +100,7 @@ def visits(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGE
     ``max_pages`` it goes on until no new page is reached, and visits each
     page once.  The walk only joins the narrow (url -> next url) table.
     """
-    # One regex pass over the html; the narrow link table (a row per page)
+    # One pass over the html; the narrow link table (a row per page)
     # is kept as a reliable checkpoint so every hop reads it, not the pages.
     checkpoint_dir(pages.sparkSession)
     links = (
