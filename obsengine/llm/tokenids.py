@@ -223,7 +223,7 @@ def write_token_ids(
                 )
                 chunk += 1
                 start += len(whole)
-        release()
+        release(forget=False)
 
     return staged(src.mapInArrow(run, FILE_SCHEMA), name)
 

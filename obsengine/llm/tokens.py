@@ -3,7 +3,7 @@
 The tokenizers used here cut a text at each single space between two other
 characters before anything else, so a text's ids are the ids of its pieces
 between such spaces, one after another.  Pieces repeat, so each Python worker
-keeps the ids of the pieces it has met in a task; the library encodes new pieces many at
+keeps the ids of the pieces it has met; the library encodes new pieces many at
 a time, joined so that they don't touch.  Texts in which white space touches
 white space, and texts that hold an added token's string, are encoded whole.
 """
@@ -335,18 +335,18 @@ _ENCODERS: dict[tuple, Encoder] = {}
 
 
 def encoder(path: str, spaced: bool, literal: bool = False) -> Encoder:
-    """The encoder of a file, kept by the Python worker from task to task (its
-    pieces only until ``release``)."""
+    """The encoder of a file, kept by the Python worker from task to task."""
     key = (path, spaced, literal)
     if key not in _ENCODERS:
         _ENCODERS[key] = PieceEncoder(path) if path.endswith(".model") else Encoder(path, spaced, literal)
     return _ENCODERS[key]
 
 
-def release() -> None:
-    """At a task's end: forget all pieces and give their memory back, since an
-    idle Python worker keeps what it holds."""
-    for e in _ENCODERS.values():
+def release(forget: bool = True) -> None:
+    """At a task's end: forget all pieces and give memory back, since an idle
+    Python worker keeps what it holds.  Without ``forget`` the pieces stay for
+    the worker's next task."""
+    for e in _ENCODERS.values() if forget else ():
         e.forget()
     gc.collect()
     pa.default_memory_pool().release_unused()

@@ -478,3 +478,17 @@ def test_line_dedup_awkward_rows(docs, none):
     assert [r.text for r in rows if r.doc_id == 2] == [None]
     assert {r.text for r in rows if r.doc_id == 8} == {""}  # LONG is a line of 5
     assert winnow.dedup_lines(none).count() == 0
+
+
+def test_line_dedup_keeps_columns_with_its_own_names(docs):
+    names = ("_lines", "_kept", "_runs", "_cut_doc", "_cut_hash", "text_hash")
+    clash = docs.select("*", *(F.lit("mine").alias(c) for c in names))
+    got = winnow.dedup_lines(clash)
+    assert got.columns == [*clash.columns, "n_lines", "n_cut"]
+    assert got.where(" AND ".join(f"{c} = 'mine'" for c in names)).count() == len(TEXTS)
+
+
+def test_quality_columns_in_order(docs):
+    assert compression.quality_digest(docs).columns[:8] == [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+    ]
