@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions import html as H
+from ..functions import markup as M
 from ..functions import scalars as S
 from ..functions.urls import resolve_url_sql, with_resolved_url
 from ..operators import aggregate as A
@@ -90,6 +90,25 @@ def q_category_crawl_whole(spark, sf):
     return q_category_crawl(spark, sf, max_pages=None)
 
 
+@query(
+    "category_crawl_shared",
+    "WITH" + CARD_TRUTH_SQL + """
+, r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS pos FROM ct)
+SELECT source || 'page-' || s || '.html' AS start_url, CAST(pos // 20 - s + 1 AS INTEGER) AS hop, source, product_name,
+       round(price_gbp, 6) AS price_gbp, availability, rating_1to5, url,
+       TIMESTAMP '2024-06-01 00:00:00' AS scraped_at
+FROM r, (VALUES (1), (2)) AS t(s) WHERE pos // 20 - s + 1 BETWEEN 0 AND 2""",
+)
+def q_category_crawl_shared(spark, sf):
+    """Crawls from the first and from the second page of each category: most
+    pages are visited by both, and their cards belong to each visit once."""
+    path = _scratch(spark, "listing-pages")
+    _listing(spark, sf).write.parquet(path)
+    pages = spark.read.parquet(path)
+    starts = pages.where(F.col("url").rlike(r"/page-[12]\.html$")).select(F.col("url").alias("start_url"))
+    return rounded(PG.category_cards(pages, starts, as_of=AS_OF))
+
+
 @query(
     "price_text_parse",
     """
@@ -152,7 +171,7 @@ def _links_sql() -> str:
     return f"""
 WITH l AS (
   SELECT page_id, url, generate_subscripts(hs, 1) - 1 AS link_no, unnest(hs) AS raw_href
-  FROM (SELECT page_id, url, regexp_extract_all(html, '{H.LINK_RE}', 1) AS hs FROM pages)),
+  FROM (SELECT page_id, url, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS hs FROM pages)),
 d AS (
   SELECT page_id, url, link_no,
          replace(replace(replace(replace(replace(replace(raw_href, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
@@ -214,8 +233,8 @@ SELECT page_id, link_no, form, ref, {resolve_url_sql('url', 'ref')} AS resolved
 )
 def q_url_resolve(spark, sf):
     pages = AD.table(spark, sf, "pages")
-    links = pages.select("page_id", "url", F.posexplode(H.links("html")).alias("link_no", "href"))
-    links = links.withColumn("href", H.decode_entities("href")).withColumn("link_no", F.col("link_no").cast("bigint"))
+    links = pages.select("page_id", "url", F.posexplode(M.anchors("html")).alias("link_no", "href"))
+    links = links.withColumn("link_no", F.col("link_no").cast("bigint"))
     h = F.col("href")
     t = F.substring(h, 2, 1 << 30)
     forms = F.array(*[F.struct(F.lit(k).alias("form"), _variant_spark(tpl, h, t).alias("ref")) for k, tpl in VARIANTS])
