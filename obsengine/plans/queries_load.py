@@ -74,17 +74,23 @@ def q_file_order_dedup(spark, sf):
     from ..operators.clean import keep_last
 
     path = posixpath.join(_scratch(spark, "file-order"), "lines_1.csv")
-    _in_file_order(AD.table(spark, sf, "lineitem")).select(
+    lineitem = AD.table(spark, sf, "lineitem")
+    _in_file_order(lineitem, lineitem.count()).select(
         F.col("l_partkey").alias("part"), F.col("l_orderkey").alias("order_no"), F.col("l_returnflag").alias("flag")
     ).write.option("header", "true").csv(path)
     rows = CR.read_records(spark, path, "lines_*.csv")
     return keep_last(rows, ["part"], ["_pos"]).select("part", "order_no", "flag")
 
 
-def _in_file_order(lineitem):
+# Rows of one written file: a task sorts so many, however large the table is.
+FILE_ROWS = 500_000
+
+
+def _in_file_order(lineitem, n_rows: int):
     """Rows whose order in the written files is the line-item order."""
     order = [F.col(c) for c in SI.LINEITEM_ORDER]
-    return lineitem.repartitionByRange(4, *order).sortWithinPartitions(*order)
+    files = max(4, -(-n_rows // FILE_ROWS))
+    return lineitem.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
 
 # -------------------------------------------------------------------- loads
@@ -114,7 +120,7 @@ def _products_file(spark, sf, folder: str) -> str:
     li, part = AD.table(spark, sf, "lineitem"), AD.table(spark, sf, "part")
     price = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
     line = F.col("l_linenumber").cast("string")
-    rows = _in_file_order(li.join(part, li.l_partkey == part.p_partkey)).select(
+    rows = _in_file_order(li.join(part, li.l_partkey == part.p_partkey), li.count()).select(
         F.col("p_type").alias("source"),
         F.concat("p_name", F.lit(' "'), "l_returnflag", F.lit('",\n'), "l_linestatus").alias("product_name"),
         F.when(F.col("l_linenumber") == 7, "n/k").when(F.col("l_returnflag") == "R", F.concat(F.lit("-"), price)).otherwise(price).alias("price_gbp"),
