@@ -98,23 +98,27 @@ def visits(pages: DataFrame, starts: DataFrame, max_pages: int | None = MAX_PAGE
     resolved next-page link until there is none or ``max_pages`` pages have
     been visited; like the reference it keeps no visited set.  Without
     ``max_pages`` it goes on until no new page is reached, and visits each
-    page once.  The walk only joins the narrow (url -> next url) table.
+    page once.  The walk joins narrow (url -> next url) rows only; a capped one
+    reads the markup of the pages that it visits.
     """
-    # One pass over the html; the narrow link table (a row per page)
-    # is kept as a reliable checkpoint so every hop reads it, not the pages.
     checkpoint_dir(pages.sparkSession)
-    links = (
-        next_links(pages)
-        .where(F.col("next_url").isNotNull())
-        .select(F.col("url").alias("_from"), F.col("next_url").alias("_to"))
-        .checkpoint(eager=True)
-    )
+
+    def links_of(some: DataFrame) -> DataFrame:
+        found = next_links(some).where(F.col("next_url").isNotNull())
+        return found.select(F.col("url").alias("_from"), F.col("next_url").alias("_to"))
+
     if max_pages is None:
-        return reach(links, starts).select("start_url", "hop", "url")
+        # One pass over the html; the narrow link table (a row per page)
+        # is kept as a reliable checkpoint so every round reads it, not the pages.
+        return reach(links_of(pages).checkpoint(eager=True), starts).select("start_url", "hop", "url")
     step = starts.select("start_url", F.lit(0).alias("hop"), F.col("start_url").alias("url"))
     walked = step
     for hop in range(1, max_pages):
+        # the links of the pages that this hop leaves, read once a page: other pages' markup has no part in it
+        here = pages.join(step.select("url").distinct(), "url", "left_semi").select("page_id", "url", "html")
+        links = links_of(here)
         step = step.join(links, step.url == links._from).select("start_url", F.lit(hop).alias("hop"), F.col("_to").alias("url"))
+        step = step.checkpoint(eager=True)
         walked = walked.unionByName(step)
     return walked
 

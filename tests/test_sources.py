@@ -173,3 +173,16 @@ def test_header_sniffing_path_equals_scan_path(spark, tmp_path):
     scan = rows(CF.read_csv_family(spark, str(d), CF.PRODUCTS_GLOB), "url", "price_gbp", "extra")
     sniff = rows(CF.read_csv_family(spark, str(d), CF.PRODUCTS_GLOB, sniff_min_bytes=0), "url", "price_gbp", "extra")
     assert scan == sniff == [("https://x/1", "2.0", None), ("https://x/2", "3.5", "e")]
+
+
+def test_capped_crawl_reads_visited_pages_alone(spark, monkeypatch):
+    page = '<li class="next"><a href="{}">next</a></li><article class="product_pod"><h3><a href="c{}" title="t"></a></h3></article>'
+    pages = [(k, f"https://s.example/{k}", page.format(k + 1, k)) for k in range(9)] + [(9, "https://s.example/9", page.format(0, 9))]
+    pages = spark.createDataFrame(pages, "page_id long, url string, html string")
+    read, own = [], PG.next_links
+    monkeypatch.setattr(PG, "next_links", lambda some: read.append(sorted(r["page_id"] for r in some.collect())) or own(some))
+    starts = pages.where("page_id IN (0, 8)").select(pages.url.alias("start_url"))
+    found = PG.category_cards(pages, starts, as_of="2024-06-01 00:00:00")
+    got = sorted((r["start_url"][-1], r["hop"], r["url"][-2:]) for r in found.collect())
+    assert got == [("0", 0, "c0"), ("0", 1, "c1"), ("0", 2, "c2"), ("8", 0, "c8"), ("8", 1, "c9"), ("8", 2, "c0")]
+    assert read == [[0, 8], [1, 9]]
