@@ -67,11 +67,14 @@ def with_struct(
     fields: T.StructType,
     text: str,
     make: Callable[[], Callable[[pa.RecordBatch], list]],
+    limit: int = SLICE_BYTES,
+    done: Callable[[], None] | None = None,
 ) -> tuple[DataFrame, str]:
     """``df`` with one more struct column computed from whole rows.
 
-    ``make`` runs once a task and returns a function from a slice to the
-    struct's columns.  Returns the frame and the new column's name, which
+    ``make`` runs once a task and returns a function from a slice (of about
+    ``limit`` bytes of text) to the struct's columns; ``done`` runs at the
+    task's end.  Returns the frame and the new column's name, which
     differs from ``name`` only where ``df`` has that name already.
     """
     name = free_name(df.columns, name)
@@ -81,10 +84,12 @@ def with_struct(
     def run(batches):
         work = make()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, limit):
                 cols = [pa.array(c, f.type) for c, f in zip(work(part), target, strict=True)]
                 made = pa.StructArray.from_arrays(cols, fields=list(target))
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, name])
+        if done is not None:
+            done()
 
     return df.mapInArrow(run, schema), name
 

@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import texts_of, with_struct
+from .tokens import release
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
+#: Bytes of text whose words are held at once.
+SLICE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -190,7 +193,7 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands(), text: str = "text") -
 
         return work
 
-    return with_struct(docs, "quality", FIELDS, text, make)
+    return with_struct(docs, "quality", FIELDS, text, make, limit=SLICE_BYTES, done=release)
 
 
 def quality_digest(docs: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, mix, raw_texts, slices, staged, word_hashes
+from .tokens import release
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -33,6 +34,9 @@ SMALL = 32
 #: Members of a block; a task holds two blocks.
 BLOCK = 512
 
+#: Bytes of text worked at once: a task's arrays take a multiple of it.
+SLICE_BYTES = 1 << 20
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -232,7 +236,7 @@ def near_duplicates(
 
     def sign(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 texts = raw_texts(part.column(1))
                 doc, value, weight, counts, copies = shingles(texts, size)
                 keys = band_keys(signatures(doc, value, weight, len(texts), registers), bands, rows)
@@ -242,6 +246,7 @@ def near_duplicates(
                      pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
                     ["doc_id", "text_hash", "copy", "bands"],
                 )
+        release()
 
     schema = "doc_id long, text_hash long, copy binary, bands array<long>"
     signed = staged(src.mapInArrow(sign, schema), "signatures")
@@ -260,7 +265,7 @@ def near_duplicates(
 
     def sets_of(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 texts = raw_texts(part.column(1))
                 doc, value, weight, _, copies = shingles(texts, size)
                 cut = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -274,6 +279,7 @@ def near_duplicates(
                     [part.column(0), pa.array(keys, pa.binary()), pa.array(weights, pa.binary())],
                     ["copy", "keys", "weights"],
                 ).filter(pa.array(mine))
+        release()
 
     sets = found.select("wanted", "text").mapInArrow(sets_of, "copy binary, keys binary, weights binary")
     sets = staged(sets.dropDuplicates(["copy"]), "shingles")

@@ -492,3 +492,15 @@ def test_quality_columns_in_order(docs):
     assert compression.quality_digest(docs).columns[:8] == [
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     ]
+
+
+def test_whole_texts_are_worked_in_slices(spark):
+    """A slice holds about so many bytes of text, whatever the batch holds."""
+    from pyspark.sql import types as T
+
+    from obsengine.llm.common import with_struct
+
+    rows = spark.createDataFrame([(i, "x" * 6) for i in range(12)], "doc_id long, text string").coalesce(1)
+    fields = T.StructType([T.StructField("n", T.LongType())])
+    out, name = with_struct(rows, "s", fields, "text", lambda: lambda part: [[part.num_rows] * part.num_rows], limit=18)
+    assert [r[name]["n"] for r in out.collect()] == [3] * 12
