@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, staged
-from .tokens import TOKEN_SLICE_BYTES, encoder, release
+from .tokens import TOKEN_SLICE_BYTES, encoder, release, trim
 
 CAPACITY = 2048
 #: Open windows of a partition.
@@ -146,6 +146,7 @@ def pack_documents(
                     # a document's pieces follow one another, and so do documents
                     cols["ids"] = pa.ListArray.from_arrays(np.append(begin, len(whole)).astype(np.int32), whole.view(np.int32))
                 yield rows_of(cols, len(doc))
+                trim()  # a task keeps no more than a slice needs
         open_now = {"window": [w for _, w in windows.fills], "leftover": [f for f, _ in windows.fills]}
         yield rows_of(open_now, len(windows.fills))
         release()

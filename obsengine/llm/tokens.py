@@ -13,6 +13,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import json
+import os
 from collections import defaultdict
 from itertools import chain
 
@@ -69,6 +70,8 @@ class Encoder:
         self.forget()
 
     def _open(self, path: str, literal: bool) -> None:
+        # a task has one core, and each thread of the library keeps memory of its own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -349,7 +352,12 @@ def release(forget: bool = True) -> None:
     for e in _ENCODERS.values() if forget else ():
         e.forget()
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Give back the memory that is free inside this process."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if malloc_trim is not None:
+        malloc_trim(0)

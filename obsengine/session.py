@@ -20,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows reach Python in batches of bounded bytes: 10,000 long texts at once
+    # are held several times, by the executor and by the worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # MIN/MAX/COUNT answered from parquet footers (e.g. the next surrogate id).
     "spark.sql.parquet.aggregatePushdown": "true",
 }
